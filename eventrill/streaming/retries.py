@@ -1,0 +1,61 @@
+"""Retry and dead-letter routing as keyed stream state."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+from eventrill.operators.lifecycle import MAX_RETRIES
+
+OUTPUT = "message_id string, status string, failures int"
+PENDING, CONSUMED, DLQ = "pending", "consumed", "dlq"
+
+
+class _Router(StatefulProcessor):
+    """Per message: failures so far, and how it ended. Attempts after the end are ignored."""
+
+    def __init__(self, max_retries: int, keep_ms: int) -> None:
+        self._max, self._keep_ms = max_retries, keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._state = handle.getValueState("message", "failures int, status string", ttlDurationMs=self._keep_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        failures, status = self._state.get() if self._state.exists() else (0, PENDING)
+        for ok in self._in_order(rows):
+            if status != PENDING:
+                break
+            if ok:
+                status = CONSUMED
+            else:
+                failures += 1
+                status = DLQ if failures >= self._max else PENDING
+        self._state.update((failures, status))
+        yield pd.DataFrame({"message_id": [key[0]], "status": [status], "failures": [failures]})
+
+    def _in_order(self, rows: Iterator[pd.DataFrame]):
+        # only the first attempts can count: more than that many need not be held
+        held = pd.DataFrame({"attempt": [], "ok": []})
+        for part in rows:
+            held = pd.concat([held, part[["attempt", "ok"]]]).sort_values("attempt").head(self._max)
+        return [bool(ok) for ok in held["ok"]]
+
+    def close(self) -> None:
+        pass
+
+
+def route_retries_stream(
+    attempts: DataFrame, max_retries: int = MAX_RETRIES, keep_s: float = 86_400.0
+) -> DataFrame:
+    """The status of each message whenever attempts of it arrive (update mode).
+
+    ``attempts(message_id, attempt, ok)``; a message's state is dropped ``keep_s`` after its
+    last attempt.
+    """
+    router = _Router(max_retries, int(keep_s * 1000))
+    return attempts.select("message_id", "attempt", "ok").groupBy("message_id").transformWithStateInPandas(
+        statefulProcessor=router, outputStructType=OUTPUT, outputMode="Update", timeMode="ProcessingTime"
+    )
