@@ -28,7 +28,7 @@ def _typed(raw: DataFrame) -> DataFrame:
         F.col("event_id").cast("string").alias("event_id"),
         "event_type",
         F.unix_micros("ts").alias("ts_us"),
-        F.concat(F.lit("user_"), F.lpad(user.cast("string"), 4, "0")).alias("partition_key"),
+        F.format_string("user_%04d", user).alias("partition_key"),
         F.pmod(user, F.lit(NUM_PARTITIONS)).cast("int").alias("partition"),
         (F.col("event_id") + 1).alias("sequence_number"),
         F.concat(F.lit("producer-"), F.pmod(user, F.lit(10)).cast("string")).alias("producer_id"),
@@ -90,7 +90,7 @@ def commits_of(log: DataFrame) -> DataFrame:
 
 
 def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each producer feeds the topics of the event types it errs beside: a distinct list from the table."""
+    """Each producer feeds the topics in which it ever had an amount above 100."""
     rows = _typed(raw_events(spark, sf_dir)).where(F.col("amount") > 100)
     return rows.select("producer_id", F.col("event_type").alias("topic")).distinct()
 
@@ -132,3 +132,29 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
     raw = reader.parquet(sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
     return _typed(raw).drop("_group").withColumn("ts", F.timestamp_micros("ts_us"))
+
+
+def redelivered_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``event_stream`` with the second deliveries of ``error`` events."""
+    sightings = F.when(F.col("event_type") == "error", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    copies = event_stream(spark, sf_dir).withColumn("_again", F.explode(sightings))
+    later = F.col("ts_us") + F.col("_again") * 1_000_000
+    return copies.withColumn("ts_us", later).withColumn("ts", F.timestamp_micros("ts_us")).drop("_again")
+
+
+def attempt_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = event_stream(spark, sf_dir).withColumn("attempt", F.explode(F.array(*map(F.lit, (1, 2, 3)))))
+    ok = ~_fails(F.col("event_id"), F.col("attempt"))
+    return rows.select(F.col("event_id").alias("message_id"), "attempt", ok.alias("ok"))
+
+
+def lifecycle_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Production and first attempt of each message, as they happen."""
+    outcome = F.when(_fails(F.col("event_id"), F.lit(1)), "retry").otherwise("consumed")
+    steps = F.array(
+        F.struct(F.lit("produced").alias("kind"), F.lit(0).alias("_later")),
+        F.struct(outcome.alias("kind"), F.lit(1).alias("_later")),
+    )
+    rows = event_stream(spark, sf_dir).select("ts_us", F.inline(steps))
+    at = F.timestamp_micros(F.col("ts_us") + F.col("_later") * 1_000_000)
+    return rows.select(at.alias("ts"), "kind")
