@@ -83,11 +83,6 @@ def _(spark, d):
     return windows.tumbling(env(spark, d), 6 * HOUR)
 
 
-@query("tumbling_fine", env_sql(f", {_tumbling_sql(60_000_000)} SELECT * FROM win"))
-def _(spark, d):
-    return windows.tumbling(env(spark, d), 60)
-
-
 @query("sliding_counts", env_sql(f", {_sliding_sql(12 * H_US, 4 * H_US)} SELECT * FROM win"))
 def _(spark, d):
     return windows.sliding(env(spark, d), 12 * HOUR, 4 * HOUR)
@@ -159,9 +154,9 @@ def _(spark, d):
     return windows.type_distribution(env(spark, d), window_type="session", gap_s=900)
 
 
-@query("tail_rate", env_sql(f", {_tumbling_sql(5_000_000)} SELECT start_us, count AS new_rows FROM win"))
+@query("tail_rate", env_sql(f", {_tumbling_sql(60_000_000)} SELECT start_us, count AS new_rows FROM win"))
 def _(spark, d):
-    return windows.tail_rate(env(spark, d), 5)
+    return windows.tail_rate(env(spark, d), 60)
 
 
 # -- aggregates -----------------------------------------------------------------------
@@ -250,18 +245,18 @@ def _rates(windowed: DataFrame, threshold: float, compat: bool = False) -> DataF
 
 @query(
     "rate_anomalies",
-    env_sql(f", {_tumbling_sql(15_000_000)}, {_RATES.format(eps=EPS, rows='rated', t=3.0)}"),
+    env_sql(f", {_tumbling_sql(60_000_000)}, {_RATES.format(eps=EPS, rows='rated', t=3.0)}"),
 )
 def _(spark, d):
-    return _rates(windows.tumbling(env(spark, d), 15), 3.0)
+    return _rates(windows.tumbling(env(spark, d), 60), 3.0)
 
 
 @query(
     "rate_anomalies_compat",
-    env_sql(f", {_tumbling_sql(15_000_000)}, {_RATES.format(eps=EPS, rows=_ZIPPED, t=3.0)}"),
+    env_sql(f", {_tumbling_sql(60_000_000)}, {_RATES.format(eps=EPS, rows=_ZIPPED, t=3.0)}"),
 )
 def _(spark, d):
-    return _rates(windows.tumbling(env(spark, d), 15), 3.0, compat=True)
+    return _rates(windows.tumbling(env(spark, d), 60), 3.0, compat=True)
 
 
 @query(
@@ -818,9 +813,9 @@ _DEPTHS = """
             FROM spine LEFT JOIN per USING (start_us) WINDOW o AS (ORDER BY start_us))"""
 
 
-@query("depth_series", life_sql(f", {_DEPTHS.format(s=10_000_000)} SELECT * FROM depth"))
+@query("depth_series", life_sql(f", {_DEPTHS.format(s=60_000_000)} SELECT * FROM depth"))
 def _(spark, d):
-    return lifecycle.depth_series(_life(spark, d), 10)
+    return lifecycle.depth_series(_life(spark, d), 60)
 
 
 _LAGS = """
