@@ -19,9 +19,7 @@ from eventrill.plans.oracle_views import env_sql, hash_sql, life_log_sql, life_s
 from eventrill.session import shared_dir
 from eventrill.sources import eventlog, synth, tables
 from eventrill.streaming import queries as streams
-from eventrill.streaming.retries import OUTPUT as RETRY_OUTPUT
-from eventrill.streaming.retries import route_retries_stream
-from eventrill.streaming.state import BatchTable, GapAlarms, OffsetCommits
+from eventrill.streaming.state import GapAlarms, OffsetCommits, RetryRouter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -863,7 +861,7 @@ def _(spark, d):
 
 _ELAPSED = """WITH s AS (SELECT min(epoch_us(ts)) AS a, max(epoch_us(ts)) AS z FROM events),
   e AS (SELECT event_id, (epoch_us(ts) - a) / 1e6 AS t, (z - a) / 1e6 AS dur FROM events, s)
-  SELECT event_id, round(greatest({rate}, 0.1), 6) AS rate FROM e"""
+  SELECT event_id, round(CAST(greatest({rate}, 0.1) AS DOUBLE), 6) AS rate FROM e"""
 
 _PROFILE_ARGS = {
     "steady": ({"rate": 50}, "50.0"),
@@ -1058,14 +1056,14 @@ def _(spark, d):
 
 # -- streams: closed windows only --------------------------------------------------------
 
-def _closed(start: str, size: int, more: str = "", by: str = "", src: str = "base", delay: int = H_US) -> str:
-    return (
-        f"SELECT {start} AS start_us, {start} + {size} AS end_us{by}, count(*) AS count FROM {src} {more} GROUP BY ALL "
-        f"HAVING {start} + {size} <= (SELECT max(ts_us) FROM {src}) - {delay}"
-    )
+def _closed(size: int, by: str, src: str = "base", delay: int = H_US) -> str:
+    return f"""SELECT * FROM (
+        SELECT ts_us // {size} * {size} AS start_us, ts_us // {size} * {size} + {size} AS end_us, {by}, count(*) AS count
+        FROM {src} GROUP BY 1, 2, 3)
+      WHERE end_us <= (SELECT max(ts_us) FROM {src}) - {delay}"""
 
 
-@query("stream_tumbling", env_sql(_closed(f"ts_us // {D_US} * {D_US}", D_US, by=", event_type")))
+@query("stream_tumbling", env_sql(_closed(D_US, "event_type")))
 def _(spark, d):
     events = streams.with_watermark(tables.event_stream(spark, d), HOUR)
     return streams.run_to_table(streams.stream_tumbling(events, DAY, ["event_type"]), "tumbling")
@@ -1106,7 +1104,7 @@ def _(spark, d):
     "stream_metrics",
     life_sql(
         ", f AS (SELECT * FROM lifecycle WHERE kind = 'produced' OR attempt = 1) "
-        + _closed(f"ts_us // {H_US} * {H_US}", H_US, by=", kind", src="f")
+        + _closed(H_US, "kind", "f")
     ),
 )
 def _(spark, d):
@@ -1140,13 +1138,10 @@ def _(spark, d):
     "stream_route_retries",
     life_sql(
         """SELECT message_id, CASE WHEN first_ok IS NOT NULL THEN 'consumed' WHEN failed >= 3 THEN 'dlq' ELSE 'pending' END AS status,
-           CAST(coalesce(first_ok - 1, failed) AS INTEGER) AS failures FROM routed"""
+           CAST(coalesce(first_ok - 1, failed) AS BIGINT) AS failures FROM routed"""
     ),
 )
 def _(spark, d):
-    table = BatchTable(spark, shared_dir(spark, "retries"), RETRY_OUTPUT)
-    routed = route_retries_stream(tables.attempt_stream(spark, d)).writeStream.outputMode("update")
-    routed = routed.foreachBatch(lambda batch, batch_id: table.write(batch, batch_id) and None)
-    checkpoint = shared_dir(spark, "retries-checkpoint")
-    routed.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return table.latest()
+    router = RetryRouter(spark, shared_dir(spark, "retries"))
+    streams.run_batches(tables.attempt_stream(spark, d), router, shared_dir(spark, "retries-checkpoint"))
+    return router.outcomes.latest()

@@ -1,4 +1,4 @@
-"""Stream state kept as tables: committed offsets, and alarms on silences and lost numbers.
+"""Stream state kept as tables: committed offsets, gap alarms, retry routing.
 
 Each micro-batch runs a batch operator over its rows and the state left by the batch
 before, so a heavy producer or partition is split up like in a batch job, and no state
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventrill.functions.times import micros
+from eventrill.operators.lifecycle import MAX_RETRIES, route_retries
 from eventrill.operators.order import OrderedScan
 
 
@@ -103,3 +104,31 @@ class GapAlarms:
             F.max(F.struct("sequence_number", "ts_us")).alias("_last")
         )
         self.state.write(newest.select("producer_id", "_last.sequence_number", "_last.ts_us"), batch_id)
+
+
+class RetryRouter:
+    """``foreachBatch`` handler: where each message stands after its attempts so far.
+
+    Takes ``message_id, attempt, ok``. ``outcomes`` holds ``message_id, status, failures`` for
+    every message a batch touched. Only attempts of messages still pending are carried to
+    the next batch, so the state is as large as what is in flight. An ended message gets no
+    further attempts; one that arrives all the same begins a new message.
+    """
+
+    OUTCOMES = "message_id string, status string, failures bigint"
+    CARRIED = "message_id string, attempt int, ok boolean"
+
+    def __init__(self, spark: SparkSession, path: str, max_retries: int = MAX_RETRIES) -> None:
+        self.outcomes = BatchTable(spark, f"{path}/outcomes", self.OUTCOMES)
+        self.carried = BatchTable(spark, f"{path}/carried", self.CARRIED)
+        self._max = max_retries
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        new = batch.select("message_id", "attempt", "ok")
+        touched = new.select("message_id").distinct()
+        waiting = self.carried.before(batch_id)
+        rows = new.unionByName(waiting)
+        routed = route_retries(rows, self._max).select("message_id", "status", "failures")
+        written = self.outcomes.write(routed.join(touched, "message_id", "left_semi"), batch_id)
+        ended = written.where(F.col("status") != "pending").select("message_id")
+        self.carried.write(rows.join(ended, "message_id", "left_anti"), batch_id)
