@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from eventrill.functions.times import floor_to, micros
 from eventrill.operators.order import OrderedScan
 from eventrill.operators.windows import tumbling
+from eventrill.session import written
 
 MAX_RETRIES = 3
 HISTORY = 30
@@ -94,96 +95,108 @@ def lifecycle_counters(log: DataFrame) -> DataFrame:
     )
 
 
-def _per_window(log: DataFrame, kind: str, by: str, every_s: float) -> DataFrame:
+def rollup(log: DataFrame, every_s: float = 1.0) -> DataFrame:
+    """What happened per interval: rows of a life-cycle log counted by all the series need.
+
+    Every series below takes this table; make it once (``written``) to draw several.
+    """
     start = floor_to(F.col("ts_us"), micros(every_s)).alias("start_us")
-    rows = log.where(F.col("kind") == kind)
-    return rows.groupBy(start, by).agg(F.count(F.lit(1)).alias("count"))
+    first = (F.col("attempt") == 1).alias("first")
+    by = [start, "kind", first, "producer_id", "consumer_id", "topic", "partition"]
+    return log.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+
 
+def _counted(rolled: DataFrame, kind: str, by: str) -> DataFrame:
+    return rolled.where(F.col("kind") == kind).groupBy("start_us", by).agg(F.sum("n").alias("count"))
 
-def produced_per_second(log: DataFrame, every_s: float = 1.0) -> DataFrame:
-    return _per_window(log, "produced", "producer_id", every_s)
 
+def produced_per_second(rolled: DataFrame) -> DataFrame:
+    """Messages produced per interval and producer."""
+    return _counted(rolled, "produced", "producer_id")
 
-def consumer_offsets_series(log: DataFrame, every_s: float = 1.0, **scan_args) -> DataFrame:
+
+def consumer_offsets_series(rolled: DataFrame, **scan_args) -> DataFrame:
     """Messages consumed so far per consumer, at each interval in which it consumed any."""
-    counts = _per_window(log, "consumed", "consumer_id", every_s)
+    counts = written(_counted(rolled, "consumed", "consumer_id"), "consumed")
     scan = OrderedScan(counts, ["consumer_id"], ["start_us"], **scan_args)
     return scan.running_sum("consumer_offset", "count").result().drop("count")
 
 
 def _queue_delta() -> Column:
     # a message leaves the queue at its first attempt, whatever the outcome
-    kind, first = F.col("kind"), F.col("attempt") == 1
-    return F.when(kind == "produced", 1).when(kind.isin("consumed", "retry") & first, -1).otherwise(0)
+    kind = F.col("kind")
+    left = kind.isin("consumed", "retry") & F.col("first")
+    return F.when(kind == "produced", F.col("n")).when(left, -F.col("n")).otherwise(0)
 
 
 def _retry_delta() -> Column:
-    kind, first = F.col("kind"), F.col("attempt") == 1
-    return (
-        F.when((kind == "retry") & first, 1)
-        .when(((kind == "consumed") & ~first) | (kind == "dlq"), -1)
-        .otherwise(0)
-    )
+    kind, first = F.col("kind"), F.col("first")
+    left = ((kind == "consumed") & ~first) | (kind == "dlq")
+    return F.when((kind == "retry") & first, F.col("n")).when(left, -F.col("n")).otherwise(0)
 
 
-def depth_series(log: DataFrame, every_s: float = 1.0, **scan_args) -> DataFrame:
+def depth_series(rolled: DataFrame, every_s: float = 1.0, **scan_args) -> DataFrame:
     """Queue, retry and dead-letter depth at the end of every interval."""
     size = micros(every_s)
-    deltas = log.groupBy(floor_to(F.col("ts_us"), size).alias("start_us")).agg(
-        F.sum(_queue_delta()).alias("_queue"),
-        F.sum(_retry_delta()).alias("_retry"),
-        F.count_if(F.col("kind") == "dlq").alias("_dlq"),
+    deltas = rolled.groupBy("start_us").agg(
+        F.sum(_queue_delta()).alias("queue_depth"),
+        F.sum(_retry_delta()).alias("retry_depth"),
+        F.sum(F.when(F.col("kind") == "dlq", F.col("n")).otherwise(0)).alias("dlq_depth"),
     )
-    spine = tumbling(log.select("ts_us"), every_s).select("start_us", (F.col("start_us") + size).alias("end_us"))
+    depths = ["queue_depth", "retry_depth", "dlq_depth"]
+    deltas = written(deltas, "depths")  # one row per interval, read by several passes
+    spine = tumbling(deltas.withColumn("ts_us", F.col("start_us")).select("ts_us"), every_s)
     zero = F.lit(0).cast("bigint")
-    every = spine.join(deltas, "start_us", "left").select(
-        "start_us", "end_us", *[F.coalesce(c, zero).alias(c) for c in ("_queue", "_retry", "_dlq")]
-    )
-    scan = OrderedScan(every, [], ["start_us"], **scan_args)
-    for depth in ("queue", "retry", "dlq"):
-        scan.running_sum(f"{depth}_depth", f"_{depth}")
-    return scan.result().select("start_us", "end_us", "queue_depth", "retry_depth", "dlq_depth")
+    every = spine.select("start_us").join(deltas, "start_us", "left")
+    every = every.select("start_us", *[F.coalesce(c, zero).alias(f"_{c}") for c in depths])
+    scan = OrderedScan(every, [], ["start_us"], **scan_args).running_sums({c: f"_{c}" for c in depths})
+    return scan.result().select("start_us", (F.col("start_us") + size).alias("end_us"), *depths)
 
 
-def consumer_lag_series(
-    log: DataFrame, assignments: DataFrame, every_s: float = 1.0, **scan_args
-) -> DataFrame:
-    """Messages waiting in each consumer's partitions, at each interval in which that changed."""
+def consumer_lag_series(rolled: DataFrame, assignments: DataFrame, **scan_args) -> DataFrame:
+    """Messages waiting in each consumer's partitions, at each interval in which any came or went."""
     owned = assignments.select("topic", "partition", F.col("member_id").alias("_owner"))
-    rows = log.withColumn("_delta", _queue_delta()).where(F.col("_delta") != 0)
-    start = floor_to(F.col("ts_us"), micros(every_s)).alias("start_us")
+    moved = rolled.withColumn("_delta", _queue_delta()).where(F.col("_delta") != 0)
     # summed per partition before the join: the join then sees intervals, not messages
-    per_partition = rows.groupBy(start, "topic", "partition").agg(F.sum("_delta").alias("_delta"))
+    per_partition = moved.groupBy("start_us", "topic", "partition").agg(F.sum("_delta").alias("_delta"))
     per_owner = per_partition.join(owned, ["topic", "partition"]).groupBy(
         F.col("_owner").alias("consumer_id"), "start_us"
     )
-    scan = OrderedScan(per_owner.agg(F.sum("_delta").alias("_delta")), ["consumer_id"], ["start_us"], **scan_args)
+    moves = written(per_owner.agg(F.sum("_delta").alias("_delta")), "moves")
+    scan = OrderedScan(moves, ["consumer_id"], ["start_us"], **scan_args)
     return scan.running_sum("lag", "_delta").result().drop("_delta")
 
 
 def metrics_snapshots(
-    log: DataFrame, assignments: DataFrame | None = None, every_s: float = 1.0
+    rolled: DataFrame, assignments: DataFrame | None = None, every_s: float = 1.0
 ) -> DataFrame:
     """All metrics of a run in long form: ``t_us`` (end of the interval), ``metric, id, value``."""
     size = micros(every_s)
+    rolled = written(rolled, "rollup")  # every metric reads it
 
     def long(df: DataFrame, metric: str, id_col: Column, value: str) -> DataFrame:
         t = (F.col("start_us") + size).alias("t_us")
         return df.select(t, F.lit(metric).alias("metric"), id_col.alias("id"), F.col(value).cast("bigint").alias("value"))
 
-    depths = depth_series(log, every_s)
-    out = long(produced_per_second(log, every_s), "produced", F.col("producer_id"), "count")
-    offsets = consumer_offsets_series(log, every_s)
+    depths = depth_series(rolled, every_s)
+    depths = depths.select(
+        F.col("end_us").alias("t_us"),
+        F.inline(F.array(*[
+            F.struct(F.lit(c).alias("metric"), F.lit("").alias("id"), F.col(c).alias("value"))
+            for c in ("queue_depth", "retry_depth", "dlq_depth")
+        ])),
+    )
+    out = depths.unionByName(long(produced_per_second(rolled), "produced", F.col("producer_id"), "count"))
+    offsets = consumer_offsets_series(rolled)
     out = out.unionByName(long(offsets, "consumer_offset", F.col("consumer_id"), "consumer_offset"))
-    for depth in ("queue_depth", "retry_depth", "dlq_depth"):
-        out = out.unionByName(long(depths, depth, F.lit(""), depth))
     if assignments is not None:
-        lags = consumer_lag_series(log, assignments, every_s)
+        lags = consumer_lag_series(rolled, assignments)
         out = out.unionByName(long(lags, "consumer_lag", F.col("consumer_id"), "lag"))
     return out
 
 
 def recent_snapshots(series: DataFrame, n: int = HISTORY) -> DataFrame:
     """The rows of the last ``n`` snapshot times."""
+    series = written(series, "snapshots")
     last = series.select("t_us").distinct().orderBy(F.desc("t_us")).limit(n)
     return series.join(last, "t_us", "left_semi")

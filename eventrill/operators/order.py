@@ -182,12 +182,24 @@ class OrderedScan:
 
     def running_sum(self, name: str, value: str, from_end: bool = False) -> "OrderedScan":
         """Sum of ``value`` from the first row (or, ``from_end``, from the last) up to this one."""
+        return self.running_sums({name: value}, from_end)
+
+    def running_sums(self, values: dict[str, str], from_end: bool = False) -> "OrderedScan":
+        """Several running sums, ``{new column: summed column}``, with one carry between them."""
         frame = self._window(from_end).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        df = self.df.withColumn(name, F.sum(value).over(frame))
+        df = self.df.select("*", *[F.sum(v).over(frame).alias(n) for n, v in values.items()])
         if self.pieces:
-            carry = self._carry(F.sum(value), [value], _sum_before, "_before", from_end)
+            totals = F.struct(*[F.sum(v).alias(n) for n, v in values.items()])
+
+            def before_this(before) -> Column:
+                earlier = before.rowsBetween(Window.unboundedPreceding, -1)
+                return F.struct(*[F.sum(f"_v.{n}").over(earlier).alias(n) for n in values])
+
+            carry = self._carry(totals, values.values(), before_this, "_before", from_end)
             df = self._join_carry(df, carry, "_before")
-            df = df.withColumn(name, F.col(name) + F.coalesce("_before", F.lit(0))).drop("_before")
+            for n in values:
+                df = df.withColumn(n, F.col(n) + F.coalesce(F.col("_before")[n], F.lit(0)))
+            df = df.drop("_before")
         self.df = df
         return self
 

@@ -779,6 +779,10 @@ def _(spark, d):
     return lifecycle.lifecycle_counters(_life(spark, d))
 
 
+def _rolled(spark, d, every_s: float = 1.0):
+    return lifecycle.rollup(_life(spark, d), every_s)
+
+
 @query(
     "produced_per_second",
     life_sql(
@@ -787,7 +791,7 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    return lifecycle.produced_per_second(_life(spark, d))
+    return lifecycle.produced_per_second(_rolled(spark, d))
 
 
 _OFFSETS = (
@@ -798,7 +802,7 @@ _OFFSETS = (
 
 @query("consumer_offsets_series", life_sql(_OFFSETS.format(s=1_000_000)))
 def _(spark, d):
-    return lifecycle.consumer_offsets_series(_life(spark, d))
+    return lifecycle.consumer_offsets_series(_rolled(spark, d))
 
 
 _DEPTHS = """
@@ -813,7 +817,7 @@ _DEPTHS = """
 
 @query("depth_series", life_sql(f", {_DEPTHS.format(s=60_000_000)} SELECT * FROM depth"))
 def _(spark, d):
-    return lifecycle.depth_series(_life(spark, d), 60)
+    return lifecycle.depth_series(_rolled(spark, d, 60), 60)
 
 
 _LAGS = """
@@ -824,7 +828,7 @@ _LAGS = """
 
 @query("consumer_lag_series", life_log_sql(f", {_LAGS.format(s=1_000_000)} SELECT * FROM lags"))
 def _(spark, d):
-    return lifecycle.consumer_lag_series(_life(spark, d), _assigned(spark, d, "roundrobin"))
+    return lifecycle.consumer_lag_series(_rolled(spark, d), _assigned(spark, d, "roundrobin"))
 
 
 _SNAPSHOTS = f""", {_DEPTHS.format(s=H_US)}, {_LAGS.format(s=H_US)},
@@ -839,7 +843,7 @@ _SNAPSHOTS = f""", {_DEPTHS.format(s=H_US)}, {_LAGS.format(s=H_US)},
 
 
 def _snapshots(spark, d):
-    return lifecycle.metrics_snapshots(_life(spark, d), _assigned(spark, d, "roundrobin"), HOUR)
+    return lifecycle.metrics_snapshots(_rolled(spark, d, HOUR), _assigned(spark, d, "roundrobin"), HOUR)
 
 
 @query("metrics_snapshots", life_log_sql(f"{_SNAPSHOTS} SELECT * FROM snap"))
