@@ -78,11 +78,14 @@ def flatten_log(log: DataFrame) -> DataFrame:
 
 
 def _with_topic(records: DataFrame, topics: DataFrame) -> DataFrame:
-    """Attach ``num_partitions``; a record of an unknown topic fails the query."""
+    """Attach ``num_partitions``; a record of an unknown topic fails the query.
+
+    The check sits in ``topic``, which every use of the log reads, so it is never pruned.
+    """
     dim = topics.select("topic", "num_partitions")
-    message = F.concat(F.lit("unknown topic: "), F.col("topic"))
-    known = F.coalesce(F.col("num_partitions"), F.raise_error(message).cast("int"))
-    return records.join(dim, "topic", "left").withColumn("num_partitions", known)
+    fail = F.raise_error(F.concat(F.lit("unknown topic: "), F.col("topic")))
+    joined = records.join(dim, "topic", "left")
+    return joined.withColumn("topic", F.when(F.col("num_partitions").isNull(), fail).otherwise(F.col("topic")))
 
 
 def append_log(
@@ -251,9 +254,9 @@ def create_topics(topics: DataFrame, new: DataFrame) -> DataFrame:
 def drop_topics(topics: DataFrame, names: DataFrame) -> DataFrame:
     """``topics`` without ``names``; a name that is not there fails the query."""
     there = topics.join(names.select("topic", F.lit(True).alias("_drop")), "topic", "full")
-    message = F.concat(F.lit("unknown topic: "), F.col("topic"))
-    name = F.when(F.col("num_partitions").isNull(), F.raise_error(message)).otherwise(F.col("topic"))
-    return there.withColumn("topic", name).where(F.col("_drop").isNull()).drop("_drop")
+    fail = F.raise_error(F.concat(F.lit("unknown topic: "), F.col("topic"))).cast("boolean")
+    stays = F.when(F.col("num_partitions").isNull(), fail).otherwise(F.col("_drop").isNull())
+    return there.where(stays).drop("_drop")
 
 
 def active_members(members: DataFrame, connected: DataFrame, crashed: DataFrame | None = None) -> DataFrame:

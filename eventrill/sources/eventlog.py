@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+MAX_BROADCAST_FILES = 1_000_000
 FILE_STRIDE = 1 << 42  # bytes: more than any one log file holds
 
 _TYPE_DEFAULT_ANALYSIS = "unknown"
@@ -93,6 +94,8 @@ def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     # the two listings write the scheme differently (file:/ and file:///): compare paths
     ranked = [(re.sub(_SCHEME, "", f), i) for i, f in enumerate(files)]
     ranks = spark.createDataFrame(ranked, "_path string, _file bigint")
+    if len(files) <= MAX_BROADCAST_FILES:  # one short row per file; more are joined by a shuffle
+        ranks = F.broadcast(ranks)
     rows = rows.withColumn("_path", F.regexp_replace("file", _SCHEME, ""))
     unknown = F.raise_error(F.concat(F.lit("file not in the listing: "), F.col("file"))).cast("bigint")
     ordinal = F.coalesce(F.col("_file"), unknown) * FILE_STRIDE + F.col("_at")
@@ -118,12 +121,13 @@ def _split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 def read_event_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     """Envelopes of a growing directory of JSON-lines files, as a streaming DataFrame.
 
-    ``files_per_trigger`` paces a replay. ``ordinal`` grows within a micro-batch only.
+    ``files_per_trigger`` paces a replay. ``ordinal`` is when the line's file was written.
     """
     reader = spark.readStream.format("text")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    lines = reader.load(path).select("value", F.monotonically_increasing_id().alias("ordinal"))
+    written_at = F.unix_micros("_metadata.file_modification_time")
+    lines = reader.load(path).select("value", written_at.alias("ordinal"))
     rows = to_envelope(lines, _TYPE_DEFAULT_CONSUMER).where(~F.col("rejected")).select(*ENVELOPE_COLUMNS)
     return rows.withColumn("received_at_us", F.unix_micros(F.current_timestamp()))
 

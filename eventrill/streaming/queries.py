@@ -47,7 +47,8 @@ def stream_sliding(env: DataFrame, size_s: float, slide_s: float, by: Sequence[s
 def stream_sessions(env: DataFrame, gap_s: float, keys: Sequence[str] = ()) -> DataFrame:
     """Closed sessions; ``end_us`` is the last event's time. Without keys there is one session line
     for the whole stream, kept in one state: prefer keys."""
-    columns = list(keys) or [F.lit("").alias("_stream")]
+    # a key is required; a literal would be folded away
+    columns = list(keys) or [F.substring(F.col("ts").cast("string"), 1, 0).alias("_stream")]
     grouped = env.groupBy(*columns, F.session_window("ts", _interval(gap_s)))
     out = grouped.agg(F.max("ts").alias("_last"), F.count(F.lit(1)).alias("count"))
     return out.select(
