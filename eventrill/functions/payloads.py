@@ -27,16 +27,20 @@ USERS, HOSTS, SENSOR_ROWS, SENSORS_PER_ROW = 200, 8, 4, 5
 SLOTS = 8  # 16-bit picks in one MD5
 
 
+def rolls(digest: Column) -> list[Column]:
+    """The eight 16-bit numbers in an MD5 digest."""
+    return [F.conv(F.substring(digest, 4 * slot + 1, 4), 16, 10).cast("int") for slot in range(SLOTS)]
+
+
 class Dice:
-    """Picks fixed by ``seed``: slot 0-7 of its MD5, 8-15 of the MD5 of a salted seed."""
+    """Picks made from ``rolls``. Where there are many picks, pass the rolls as columns."""
 
-    def __init__(self, seed: Column) -> None:
-        self._digests = [F.md5(seed), F.md5(F.concat(seed, F.lit("#")))]
+    def __init__(self, rolled: list[Column]) -> None:
+        self._rolled = rolled
 
     def roll(self, slot: int) -> Column:
         """A whole number in 0..65535."""
-        digest = self._digests[slot // SLOTS]
-        return F.conv(F.substring(digest, 4 * (slot % SLOTS) + 1, 4), 16, 10).cast("int")
+        return self._rolled[slot]
 
     def unit(self, slot: int) -> Column:
         """A number strictly between 0 and 1."""
@@ -126,17 +130,21 @@ def _purchase(d: Dice, token: Column) -> Column:
     )
 
 
-def synthetic(event_type: Column, seed: Column, types=None) -> tuple[Column, Column]:
-    """(partition key, payload JSON) of a row of ``event_type``; null for other types."""
-    dice = Dice(F.concat(seed, F.lit(":payload")))
-    token = F.md5(F.concat(seed, F.lit(":token")))
+def with_synthetic(rows: DataFrame, seed: str, types=None) -> DataFrame:
+    """``rows`` (with ``event_type`` and a ``seed`` column) plus ``partition_key`` and ``payload``."""
+    seeded = rows.select(
+        "*", F.md5(F.concat(F.col(seed), F.lit(":payload"))).alias("_digest"),
+        F.md5(F.concat(F.col(seed), F.lit(":token"))).alias("_token"),
+    )
+    rolled = seeded.select("*", *[r.alias(f"_roll{i}") for i, r in enumerate(rolls(F.col("_digest")))])
+    dice, token = Dice([F.col(f"_roll{i}") for i in range(SLOTS)]), F.col("_token")
     key = F.lit(None).cast("string")
     payload = F.lit(None).cast("string")
     for name in types or FACTORIES:
         made_key, made = FACTORIES[name](dice, token)
-        key = F.when(event_type == name, made_key).otherwise(key)
-        payload = F.when(event_type == name, F.to_json(made)).otherwise(payload)
-    return key, payload
+        key = F.when(F.col("event_type") == name, made_key).otherwise(key)
+        payload = F.when(F.col("event_type") == name, F.to_json(made)).otherwise(payload)
+    return rolled.select(*rows.columns, key.alias("partition_key"), payload.alias("payload"))
 
 
 def parse_payload(env: DataFrame, event_type: str, schema: str | None = None) -> DataFrame:

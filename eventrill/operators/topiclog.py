@@ -233,9 +233,9 @@ def compact(log: DataFrame) -> DataFrame:
 
     An aggregate, not a window: a key with most of the log is reduced before the shuffle.
     """
-    last = log.groupBy(*TP, "key", F.when(F.col("key").isNull(), F.col("offset")).alias("_alone"))
-    kept = last.agg(F.max("offset").alias("offset")).select(*TP, "offset")
-    return log.join(kept, [*TP, "offset"], "left_semi")
+    alone = F.when(F.col("key").isNull(), F.col("offset")).alias("_alone")
+    last = log.groupBy(*TP, "key", alone).agg(F.max_by(F.struct(*log.columns), "offset").alias("_row"))
+    return last.select("_row.*")
 
 
 def list_topics(topics: DataFrame) -> DataFrame:

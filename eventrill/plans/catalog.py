@@ -16,7 +16,7 @@ from eventrill.functions import payloads, rates
 from eventrill.operators import aggregates, anomalies, consumer, lifecycle, load, topiclog, windows
 from eventrill.plans.analysis import analysis_report
 from eventrill.plans.oracle_views import env_sql, hash_sql, life_log_sql, life_sql, log_sql
-from eventrill.session import shared_dir
+from eventrill.session import shared_dir, written
 from eventrill.sources import eventlog, synth, tables
 from eventrill.streaming import queries as streams
 from eventrill.streaming.state import GapAlarms, OffsetCommits, RetryRouter
@@ -499,6 +499,11 @@ def _log(spark, d):
     return topiclog.append_log(tables.records(spark, d), tables.topics(spark, d))
 
 
+def _stored_log(spark, d):
+    """The log as the table it is in use: appended once, then read by several operators."""
+    return written(_log(spark, d), "topic-log")
+
+
 @query(
     "assign_partition_key",
     env_sql(f"SELECT event_id, ordinal, CAST({hash_sql('partition_key')} % 8 AS INTEGER) AS \"partition\" FROM env"),
@@ -588,7 +593,7 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    log = _log(spark, d)
+    log = _stored_log(spark, d)
     starts = tables.commits_of(log).withColumn("start", F.col("committed") + 1)
     return topiclog.read_log(log, starts, 100, "committed").select("topic", "partition", "offset", "record_id")
 
@@ -605,7 +610,7 @@ def _assigned(spark, d, strategy="range"):
 
 @query("poll", log_sql(_READ.format(n=50, rows=_POLL).replace("record_id FROM (", "record_id, member_id FROM (")))
 def _(spark, d):
-    log = _log(spark, d)
+    log = _stored_log(spark, d)
     fetched, _ = topiclog.poll(log, tables.commits_of(log), _assigned(spark, d), tables.GROUP)
     return fetched.select("topic", "partition", "offset", "record_id", "member_id")
 
@@ -619,7 +624,7 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    log = _log(spark, d)
+    log = _stored_log(spark, d)
     commits = tables.commits_of(log)
     _, new = topiclog.poll(log, commits, _assigned(spark, d), tables.GROUP)
     return topiclog.commit_offset(commits, new, commits.select("group_id").distinct())
@@ -633,7 +638,7 @@ _LAG = """
 
 
 def _part_lag(spark, d):
-    log = _log(spark, d)
+    log = _stored_log(spark, d)
     return topiclog.consumer_lag(log, tables.commits_of(log), tables.GROUP)
 
 
@@ -668,7 +673,7 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    kept = topiclog.apply_retention(_log(spark, d), 20_000)
+    kept = topiclog.apply_retention(_stored_log(spark, d), 20_000)
     return kept.select("topic", "partition", "offset", "size_bytes")
 
 

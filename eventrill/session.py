@@ -14,6 +14,8 @@ REQUIRED_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # longer generated methods are not compiled by the JVM and run several times slower
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # keep session state of a hot key small: merge sessions map-side before the shuffle
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,

@@ -45,13 +45,8 @@ def to_envelope(lines: DataFrame, type_default: str = _TYPE_DEFAULT_ANALYSIS) ->
     """Lines (``value, ordinal``, any other columns kept) as envelopes with ``rejected``."""
     parsed = lines.where(F.col("value").rlike(r"\S")).withColumn("_json", F.try_parse_json("value"))
     is_object = F.coalesce(F.schema_of_variant("_json").startswith("OBJECT"), F.lit(False))
-    typed = parsed.select(
-        *lines.columns,
-        F.when(is_object, F.col("_json")).alias("_json"),
+    fields = F.struct(
         is_object.alias("_object"),
-    ).select(
-        *lines.columns,
-        "_object",
         _text("event_id", "").alias("event_id"),
         _text("event_type", type_default).alias("event_type"),
         # 15 decimals: cut, not rounded, to a whole number; 6 decimals are microseconds
@@ -67,6 +62,9 @@ def to_envelope(lines: DataFrame, type_default: str = _TYPE_DEFAULT_ANALYSIS) ->
         ).alias("metadata"),
         F.to_json(F.try_variant_get("_json", "$.payload", "variant")).alias("payload"),
     )
+    # A row of one through ``inline``: a filter on the fields then stays above the parsing
+    # instead of repeating it.
+    typed = parsed.select(*lines.columns, F.inline(F.array(fields)))
     bad_number = F.col("ts_us").isNull() | F.col("partition").isNull() | F.col("sequence_number").isNull()
     return typed.withColumn("ts", F.timestamp_micros("ts_us")).withColumn(
         "rejected", ~F.col("_object") | bad_number

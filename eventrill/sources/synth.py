@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventrill.functions.payloads import FACTORIES, Dice, synthetic
+from eventrill.functions.payloads import FACTORIES, Dice, rolls, with_synthetic
 from eventrill.functions.times import SECOND_US
 from eventrill.operators.topiclog import key_partition
 from eventrill.sources.eventlog import ENVELOPE_COLUMNS
@@ -34,9 +34,8 @@ def events_from(
     names = list(types or FACTORIES)
     stamp = F.concat_ws(":", F.lit(seed), F.col(number))
     picked = rows.select(F.col(number).alias("_n"), F.col(ts_us).alias("ts_us"), stamp.alias("_seed"))
-    picked = picked.withColumn("event_type", Dice(F.concat(F.col("_seed"), F.lit(":type"))).pick(0, names))
-    key, payload = synthetic(F.col("event_type"), F.col("_seed"), names)
-    made = picked.withColumn("partition_key", key).withColumn("payload", payload)
+    of_type = Dice(rolls(F.md5(F.concat(F.col("_seed"), F.lit(":type")))))
+    made = with_synthetic(picked.withColumn("event_type", of_type.pick(0, names)), "_seed", names)
     in_turn = F.pmod(F.col("_n"), F.lit(partitions)).cast("int")
     placed = key_partition(F.col("partition_key"), F.lit(partitions)) if strategy == "key" else in_turn
     return made.select(
