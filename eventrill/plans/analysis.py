@@ -1,4 +1,4 @@
-"""The full analysis of an event stream, as a bundle of lazy DataFrames and as a report."""
+"""The full analysis of an event stream, as a bundle of DataFrames and as reports of JSON rows."""
 
 from __future__ import annotations
 
@@ -11,6 +11,10 @@ from eventrill.operators.aggregates import (
     count_by_partition, count_by_producer, gap_stats, stream_summary, top_event_types,
 )
 from eventrill.operators.anomalies import detect_anomalies
+from eventrill.functions.rates import Profile
+from eventrill.operators.load import (
+    REPORT_EVERY_S, latency_summary, load_report, rate_conformance, throughput_points,
+)
 from eventrill.operators.windows import WINDOW_TYPES, throughput_series, windows_of
 from eventrill.session import written
 
@@ -45,7 +49,7 @@ def analysis_report(env: DataFrame, **options) -> DataFrame:
     """The analysis as JSON rows ``section, body``, one row per entry of each section.
 
     A section can have as many rows as there are windows or anomalies, so the report is
-    a distributed table (``write.partitionBy("section").text``), not one document.
+    a distributed table (see ``write_report``), not one document.
     """
     parts = analyze(env, **options)
     # read three times below: counted twice, listed once
@@ -80,6 +84,30 @@ def analysis_report(env: DataFrame, **options) -> DataFrame:
             sec("start_us").alias("window_start"), sec("end_us").alias("window_end"), "details",
         ),
     }
+    return _json_rows(sections)
+
+
+def write_report(report: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """One folder of JSON lines per section."""
+    report.select("section", F.col("body").alias("value")).write.mode(mode).partitionBy("section").text(path)
+
+
+def load_run_report(
+    events: DataFrame, profiles: dict[str, Profile], latency_ms: str, every_s: float = REPORT_EVERY_S
+) -> DataFrame:
+    """Load runs as JSON rows ``section, body``: totals, one row per pattern, the rates over time."""
+    runs = written(rate_conformance(events, profiles), "runs")  # one row per pattern
+    latency = latency_summary(events, latency_ms, ["pattern"])
+    return _json_rows(
+        {
+            "totals": load_report(runs),
+            "patterns": runs.join(latency.select("pattern", F.struct(*latency.columns[1:]).alias("latency")), "pattern"),
+            "throughput_series": throughput_points(events, every_s),
+        }
+    )
+
+
+def _json_rows(sections: dict[str, DataFrame]) -> DataFrame:
     rows = [
         df.select(F.lit(name).alias("section"), F.to_json(F.struct("*")).alias("body")) for name, df in sections.items()
     ]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from eventrill.functions import payloads, rates
 from eventrill.operators import aggregates, anomalies, consumer, lifecycle, load, topiclog, windows
-from eventrill.plans.analysis import analysis_report
+from eventrill.plans.analysis import analysis_report, load_run_report
 from eventrill.plans.oracle_views import env_sql, hash_sql, life_log_sql, life_sql, log_sql
 from eventrill.session import shared_dir, written
 from eventrill.sources import eventlog, synth, tables
@@ -960,6 +960,18 @@ def _(spark, d):
     return load.throughput_points(tables.load_events(spark, d), HOUR)
 
 
+@query(
+    "load_run_report",
+    f"""WITH f AS (SELECT event_type AS pattern, epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY event_type) AS t FROM events)
+    SELECT 'totals' AS section, 1::BIGINT AS count
+    UNION ALL SELECT 'patterns', count(DISTINCT pattern) FROM f
+    UNION ALL SELECT 'throughput_series', count(*) FROM (SELECT DISTINCT pattern, t // {H_US} FROM f)""",
+)
+def _(spark, d):
+    report = load_run_report(tables.load_events(spark, d), _run_profiles(), "amount", HOUR)
+    return report.groupBy("section").agg(F.count("body").alias("count"))
+
+
 _SUMMARY = """count(ms) AS samples, round(avg(ms), 6) AS mean_ms, round(quantile_cont(ms, 0.5), 6) AS p50_ms,
   round(quantile_cont(ms, 0.95), 6) AS p95_ms, round(quantile_cont(ms, 0.99), 6) AS p99_ms,
   round(quantile_cont(ms, 0.999), 6) AS p999_ms, min(ms) AS min_ms, max(ms) AS max_ms"""

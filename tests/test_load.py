@@ -92,3 +92,19 @@ def test_throughput_points(spark):
     assert [(r["t_us"], r["eps"], r["total"]) for r in points.collect()] == [
         (2_000_000, 2.0, 4), (4_000_000, 2.0, 8), (6_000_000, 1.0, 10)
     ]
+
+
+def test_report_rows(spark, tmp_path):
+    import json
+
+    from eventrill.plans.analysis import load_run_report, write_report
+
+    events = spark.createDataFrame([("a", i * 500_000, float(i)) for i in range(11)], "pattern string, ts_us long, ms double")
+    report = load_run_report(events, {"a": rates.steady(2)}, "ms")
+    rows = {(r["section"], i): json.loads(r["body"]) for i, r in enumerate(report.collect())}
+    totals, pattern = (next(v for (s, _), v in rows.items() if s == n) for n in ("totals", "patterns"))
+    assert totals == {"total_patterns": 1, "total_events": 11}
+    assert pattern["latency"]["p50_ms"] == 5 and pattern["conformance_pct"] == pytest.approx(110)
+    write_report(report, str(tmp_path / "report"))
+    back = spark.read.text(str(tmp_path / "report")).where("section = 'throughput_series'")
+    assert sorted(json.loads(r["value"])["total"] for r in back.collect()) == [4, 8, 11]

@@ -104,3 +104,7 @@ def test_round_robin_source(spark):
 
 def test_null_sink(spark):
     eventlog.write_noop(synth.synth_events(spark, 5))
+
+
+def test_endless_source(spark):
+    assert synth.synth_stream(spark, 5, types=["Click"]).isStreaming
