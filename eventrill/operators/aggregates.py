@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +29,9 @@ def count_by_producer(env: DataFrame) -> DataFrame:
 
 def top_event_types(env: DataFrame, n: int = 5) -> DataFrame:
     """The ``n`` most frequent types; equal counts in order of first appearance."""
-    first = F.min(F.struct("ts_us", "ordinal"))
+    # time and arrival order as one number: a minimum of structs would sort the events
+    place = F.col("ts_us").cast("decimal(18,0)") * F.lit(Decimal(1 << 63)) + F.col("ordinal")
+    first = F.min(place.cast("decimal(38,0)"))
     ranked = env.groupBy("event_type").agg(F.count(F.lit(1)).alias("count"), first.alias("_first"))
     return ranked.orderBy(F.desc("count"), F.asc("_first")).limit(n).select("event_type", "count")
 

@@ -137,10 +137,14 @@ class OrderedScan:
         by = self.keys + self.pieces
         return Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
 
-    def _carry(self, value: Column, needs, combine, name: str, descending: bool = False) -> DataFrame:
+    def _carry(
+        self, value: Column, needs, combine, name: str, descending: bool = False, only_ends: bool = False
+    ) -> DataFrame:
         """Per piece: ``combine`` over the pieces of the same group that come before it."""
         source = self._cut_df if set(needs) <= set(self._cut_df.columns) else self.df
         cut_rows = source.where(F.col(self.pieces[0]).isNotNull())
+        if only_ends:
+            cut_rows = self._piece_ends(cut_rows)
         per_piece = cut_rows.groupBy(*self.keys, *self.pieces).agg(value.alias("_v"))
         # A piece number is null only where a heavier sibling was cut further; such a
         # group has a single null piece, so nulls-first keeps the order.
@@ -148,6 +152,18 @@ class OrderedScan:
         before = Window.partitionBy(*self.keys).orderBy(*order) if self.keys else Window.orderBy(*order)
         return per_piece.select(*self.keys, *self.pieces, combine(before).alias(name))
 
+    def _piece_ends(self, rows: DataFrame) -> DataFrame:
+        """The rows at the greatest first order column of their piece.
+
+        A maximum of structs is aggregated by sorting; that of one number is hashed. So the
+        number comes first, and only the few rows that reach it are compared in full.
+        """
+        by = self.keys + self.pieces
+        tops = rows.groupBy(*by).agg(F.max(self.order[0]).alias("_top"))
+        tops = tops.select(*[F.col(c).alias(f"_e_{c}") for c in by], "_top")
+        match = [F.col(c).eqNullSafe(F.col(f"_e_{c}")) for c in by] + [F.col(self.order[0]) == F.col("_top")]
+        return rows.join(F.broadcast(tops), match, "left_semi")  # one row per piece
+
     def _join_carry(self, df: DataFrame, carry: DataFrame, name: str) -> DataFrame:
         by = self.keys + self.pieces
         right = carry.select(*[F.col(c).alias(f"_c_{c}") for c in by], name)
@@ -163,8 +179,10 @@ class OrderedScan:
         source = F.struct(*[F.col(src).alias(new) for new, src in columns.items()])
         df = self.df.withColumn("_prev", F.lag(source).over(w))
         if self.pieces:
-            last = F.max(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(self.order)], source.alias("_s")))
-            carry = self._carry(last["_s"], columns.values(), lambda b: F.lag("_v").over(b), "_before")
+            ends = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(self.order)], source.alias("_s"))
+            carry = self._carry(
+                F.max(ends)["_s"], columns.values(), lambda b: F.lag("_v").over(b), "_before", only_ends=True
+            )
             df = self._join_carry(df.withColumn("_first", F.row_number().over(w) == 1), carry, "_before")
             df = df.withColumn("_prev", F.when(F.col("_first"), F.col("_before")).otherwise(F.col("_prev")))
         self.df = df.select(*self.df.columns, *[F.col("_prev")[new].alias(new) for new in columns])
