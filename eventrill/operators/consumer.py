@@ -43,7 +43,7 @@ def dedup_first(env: DataFrame, **scan_args) -> DataFrame:
 
 def drop_processed(env: DataFrame, processed: DataFrame) -> DataFrame:
     """Drop events whose id an earlier run has already processed."""
-    return env.join(processed.select("event_id"), "event_id", "left_anti")
+    return env.join(processed.select("event_id").distinct(), "event_id", "left_anti")
 
 
 def consume(

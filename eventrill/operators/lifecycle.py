@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from eventrill.functions.times import floor_to, micros
 from eventrill.operators.order import OrderedScan
 from eventrill.operators.windows import tumbling
-from eventrill.session import written
+from eventrill.session import broadcast_if_small, written
 
 MAX_RETRIES = 3
 HISTORY = 30
@@ -23,14 +23,14 @@ COLUMNS = ["ts_us", "kind", "message_id", "producer_id", "consumer_id", "topic",
 
 def fan_out(env: DataFrame, routes: DataFrame) -> DataFrame:
     """Each event once per topic its producer feeds; events of unrouted producers vanish."""
-    return env.join(routes.select("producer_id", "topic"), "producer_id")
+    return env.join(broadcast_if_small(routes.select("producer_id", "topic")), "producer_id")
 
 
 def _reached(attempts: DataFrame, max_retries: int, crashed: DataFrame | None) -> DataFrame:
     """Attempts that can take place: within the budget, and no retry on a crashed consumer."""
     rows = attempts.where(F.col("attempt") <= max_retries)
     if crashed is not None:
-        down = crashed.select("consumer_id", F.lit(True).alias("_down"))
+        down = broadcast_if_small(crashed.select("consumer_id", F.lit(True).alias("_down")))
         rows = rows.join(down, "consumer_id", "left")
         rows = rows.where(F.col("_down").isNull() | (F.col("attempt") == 1)).drop("_down")
     return rows

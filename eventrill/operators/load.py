@@ -17,6 +17,7 @@ from eventrill.operators.order import OrderedScan
 from eventrill.operators.quantiles import (
     grouped_percentiles, interpolated, interpolation_rank, values_at,
 )
+from eventrill.session import broadcast_if_small
 
 # The percentiles of a latency summary, and what an envelope takes of a payload.
 PERCENTILES = {"p50_ms": 50.0, "p95_ms": 95.0, "p99_ms": 99.0, "p999_ms": 99.9}
@@ -124,8 +125,7 @@ def rate_conformance(events: DataFrame, profiles: dict[str, Profile]) -> DataFra
 def throughput_points(events: DataFrame, every_s: float = REPORT_EVERY_S, **scan_args) -> DataFrame:
     """Per pattern: the rate of each interval of the run (``t_us`` is its end) and the events so far."""
     size = micros(every_s)
-    begins = events.groupBy("pattern").agg(F.min("ts_us").alias("_first"))
-    # one row per run; joined without a hint, skewed patterns are split by the adaptive join
+    begins = broadcast_if_small(events.groupBy("pattern").agg(F.min("ts_us").alias("_first")))
     since = events.select("pattern", "ts_us").join(begins, "pattern")
     counted = since.groupBy("pattern", floor_to(F.col("ts_us") - F.col("_first"), size).alias("t_us")).agg(
         F.count(F.lit(1)).alias("count")

@@ -3,8 +3,8 @@
 A log row is a record (``topic, key, value, headers, ts, record_id, acks``) with
 its ``partition, offset, size_bytes, checksum``. Side tables: ``topics(topic,
 num_partitions)``, ``commits(group_id, topic, partition, committed)``,
-``assignments(member_id, topic, partition)``. They are joined without a hint, so
-Spark broadcasts one only when its measured size is below the session's threshold.
+``assignments(member_id, topic, partition)``. Where one meets log rows it is counted
+first and broadcast only if it is small.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventrill.operators.order import OrderedScan
+from eventrill.session import broadcast_if_small
 
 TP = ["topic", "partition"]
 NO_OFFSET = -1
@@ -82,7 +83,7 @@ def _with_topic(records: DataFrame, topics: DataFrame) -> DataFrame:
 
     The check sits in ``topic``, which every use of the log reads, so it is never pruned.
     """
-    dim = topics.select("topic", "num_partitions")
+    dim = broadcast_if_small(topics.select("topic", "num_partitions"))
     fail = F.raise_error(F.concat(F.lit("unknown topic: "), F.col("topic")))
     joined = records.join(dim, "topic", "left")
     return joined.withColumn("topic", F.when(F.col("num_partitions").isNull(), fail).otherwise(F.col("topic")))
@@ -115,7 +116,7 @@ def append_log(
         ranked = OrderedScan(keyed.drop("num_partitions"), TP, ["ordinal"], **scan_args).rank("_r").result()
         placed = ranked.withColumn("_nth", F.col("_r") - 1).drop("_r")
     if log is not None:
-        ends = log.groupBy(*TP).agg((F.max("offset") + 1).alias("_end"))
+        ends = broadcast_if_small(log.groupBy(*TP).agg((F.max("offset") + 1).alias("_end")))
         placed = placed.join(ends, TP, "left").withColumn("_nth", F.col("_nth") + F.coalesce("_end", F.lit(0)))
         placed = placed.drop("_end")
     return with_checksum(with_record_size(placed.withColumnRenamed("_nth", "offset")))
@@ -163,10 +164,10 @@ def read_log(
         raise ValueError(f"unknown isolation {isolation!r}")
     rows = log
     if start_offsets is not None:
-        starts = start_offsets.select(*TP, "start")
+        starts = broadcast_if_small(start_offsets.select(*TP, "start"))
         rows = rows.join(starts, TP, "left").where(F.col("offset") >= F.coalesce("start", F.lit(0))).drop("start")
     if isolation == "committed":
-        marks = watermarks(log).select(*TP, "high_watermark")
+        marks = broadcast_if_small(watermarks(log).select(*TP, "high_watermark"))
         rows = rows.join(marks, TP).where(F.col("offset") < F.col("high_watermark")).drop("high_watermark")
     return _first_per_partition(rows, max_records)
 
@@ -196,7 +197,7 @@ def poll(
 ) -> tuple[DataFrame, DataFrame]:
     """One poll of every assigned member: (records with ``member_id``, the offsets they commit)."""
     starts = committed_offset(assignments.select("member_id", *TP), commits, group_id)
-    rows = log.join(starts, TP).where(F.col("offset") > F.col("committed")).drop("committed")
+    rows = log.join(broadcast_if_small(starts), TP).where(F.col("offset") > F.col("committed")).drop("committed")
     fetched = _first_per_partition(rows, max_records)
     new = fetched.groupBy(*TP).agg(F.max("offset").alias("committed"))
     return fetched, new.select(F.lit(group_id).alias("group_id"), *TP, "committed")

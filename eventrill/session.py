@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 100_000
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -62,7 +65,17 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/eventrill/{purpose}-{uuid.uuid4().hex}"
 
 
-def written(df, purpose: str):
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it is counted to have at most ``max_rows`` rows, else as it is.
+
+    For dimension tables made by a query: Spark cannot tell their size when it plans, and
+    would shuffle the big side by a key with few, heavy values. A larger table is joined by
+    a shuffle, where the adaptive join splits heavy keys.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: the lineage ends there.
 
     Used for intermediates that several passes read. A lost executor costs the
