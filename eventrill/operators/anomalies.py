@@ -12,8 +12,9 @@ from eventrill.functions.times import micros, seconds
 from eventrill.operators.aggregates import with_gap
 from eventrill.operators.order import OrderedScan
 from eventrill.operators.windows import non_empty, with_throughput
+from eventrill.schema import ANOMALY
 
-COLUMNS = ["kind", "severity", "start_us", "end_us", "description", "details"]
+COLUMNS = ANOMALY.fieldNames()
 
 
 def _details(**values: Column) -> Column:

@@ -12,6 +12,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventrill.schema import ENVELOPE
+
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 MAX_BROADCAST_FILES = 1_000_000
 FILE_STRIDE = 1 << 42  # bytes: more than any one log file holds
@@ -19,10 +21,7 @@ FILE_STRIDE = 1 << 42  # bytes: more than any one log file holds
 _TYPE_DEFAULT_ANALYSIS = "unknown"
 _TYPE_DEFAULT_CONSUMER = ""
 
-ENVELOPE_COLUMNS = [
-    "event_id", "event_type", "ts", "ts_us", "partition_key", "partition",
-    "sequence_number", "producer_id", "metadata", "payload", "ordinal",
-]
+ENVELOPE_COLUMNS = ENVELOPE.fieldNames()
 
 
 def _missing(path: str) -> Column:
