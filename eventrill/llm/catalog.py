@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventrill.llm import decontam, exact, packing, quality, simhash
+from eventrill.llm import chat, decontam, exact, langid, packing, quality, simhash, substring, suffix, tokenfile
 from eventrill.llm.common import table
 
 KEEP_SCORE = 0.3
@@ -48,6 +48,42 @@ FROM rows WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
 """
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit("</s>[INST] ok [/INST]")
+    extra = spark.range(2).select(
+        F.lit(-1).cast("bigint"), F.col("id"), F.when(F.col("id") == 0, "user").otherwise("assistant"), said
+    )
+    out = chat.read_back(chat.formatted(chat.reply_chain(turns.union(extra))))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    learned = F.array_join("learned", "")
+    return out.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length(learned).cast("bigint").alias("loss_chars"), F.sha2(learned, 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
+# What the template adds: 13 signs before the role, a line end after it, and 11 signs after the text.
+OP3_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(12 + 1 + 11 + length(regexp_replace(role, '[&<\[\n]', 'xx', 'g'))
+                + length(regexp_replace(text, '[&<\[]', 'xx', 'g'))) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+
+def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.deduplicated(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = decontam.hit_words()
@@ -57,6 +93,21 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.deduplicated(table(spark, sf_dir, "documents")).drop("kept")
+
+
+def learned_language():
+    """Rows that languages are learned from."""
+    return F.crc32(F.col("doc_id").cast("string")) % 4 != 2
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict_language(docs, langid.fit(docs, learned_language()))
+    return found.select("doc_id", (~learned_language()).alias("held_out"), "lang_pred", "score")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
@@ -66,11 +117,20 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_chat_format": op3_chat_format,
+    "op4_suffix_array": op4_suffix_array,
     "op5_decontamination": op5_decontamination,
+    "op6_substring": op6_substring,
+    "op7_language_id": op7_language_id,
     "op8_simhash": op8_simhash,
     "op9_packing": op9_packing,
+    "op10_token_files": op10_token_files,
 }
-ORACLES = {"op2_exact_dedup": OP2_SQL}
+ORACLES = {"op2_exact_dedup": OP2_SQL, "op3_chat_format": OP3_SQL}

@@ -14,12 +14,15 @@ from eventrill.session import written
 # What `[\x20\x09-\x0D]` matches; Python's bytes.split() splits at the same six bytes.
 SPACES = " \t\n\x0b\x0c\r"
 
-BATCH_ROWS = 256  # texts per Arrow batch: a batch of long texts still fits a worker
+# Texts per Arrow batch, by number and by bytes: a batch of long texts still fits a worker.
+BATCH_ROWS = 512
+BATCH_BYTES = 8 << 20
 
 
 def prepared(spark: SparkSession) -> SparkSession:
     """Sets how many texts go to a Python worker at once."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 

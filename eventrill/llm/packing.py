@@ -30,11 +30,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventrill.llm.common import in_arrow, shared_table
-from eventrill.llm.tokens import Encoder
+from eventrill.llm.tokens import encoder
 
 LENGTH = 2_048
 END_ID = 1
-WIDTH = 4
+WIDTH = 8
 BUCKET_ROWS = 20_000  # pieces that are ranked in one task, about
 MAX_COLUMNS = 4_000
 GAP = 1e-3  # the linear program ends within this share of its bound
@@ -46,11 +46,11 @@ def cut_documents(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id:
     """One row per piece: full pieces of ``length`` ids and the rest."""
 
     def work(batches):
-        encoder = Encoder(tokenizer, spaced=False)
+        encode = encoder(tokenizer, spaced=False).encode
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
                 ids += end
                 n = len(ids) // 4
                 for at in range(0, n, length):
@@ -132,12 +132,15 @@ def solve(counts: np.ndarray, capacity: int, max_columns: int = MAX_COLUMNS) ->
         inverse[out] = pivot
         patterns[out] = pattern
     plan, left = [], counts.astype(np.int64).copy()
-    for pattern, x in sorted(zip(patterns, times), key=lambda p: -p[1]):
-        used = pattern > 0
-        n = int(min(np.floor(x + 1e-6), np.min(left[used] // pattern[used])))
-        if n > 0:
-            plan.append((pattern, n))
-            left -= n * pattern
+    whole = [int(np.floor(x + 1e-6)) for x in times]
+    by_rest = sorted(range(len(rows)), key=lambda i: whole[i] - times[i])
+    for more in (0, 1):  # whole counts first; then once more where the most was cut off, if enough is left
+        for i in by_rest:
+            pattern, used = patterns[i], patterns[i] > 0
+            n = int(min(1 if more else whole[i], np.min(left[used] // pattern[used])))
+            if n > 0:
+                plan.append((pattern, n))
+                left -= n * pattern
     return plan + first_fit(left, capacity)
 
 

@@ -4,8 +4,8 @@ Random indexing gives every word a sparse random index vector, drawn from its ha
 word's vector is the sum of the index vectors of the words around it, over the whole
 corpus. Words share ``BUCKETS`` rows by hash, so the table of vectors has a fixed size; it is
 summed by one aggregate with a map-side part. Besides the word itself the stream holds its
-shape (runs of upper case, lower case, digits, other signs, and whether the word before was
-the same), so that words never seen before have a known neighbour. A document is the mean
+shape (runs of upper case, lower case, digits and signs, and whether the word before was the
+same), so that words never seen before have a known neighbour. A document is the mean
 of its words' vectors and of its shapes' vectors.
 
 On these features a network of two layers is trained in numpy, on the driver, from at most
@@ -21,9 +21,7 @@ read.
 
 from __future__ import annotations
 
-import re
 import zlib
-from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -38,64 +36,78 @@ NONZEROS = 4
 REACH = 1  # words to either side
 MAX_ROWS = 20_000  # labelled documents the network learns from
 HIDDEN = 32
-CACHED_WORDS = 300_000
-ADDED_WORDS = 500_000  # words whose neighbours are counted at a time
-PIECE_WORDS = 65_536  # words of a long text that are pooled at a time
+ADDED_CHARS = 3_000_000  # of texts whose words' neighbours are counted at a time
+PIECE_WORDS = 65_536  # words that are pooled at a time
 
-_SIGNS = re.compile(r"[^\w\s]+")
-_LETTERS, _DIGITS = re.compile(r"[^\W\d_]+"), re.compile(r"\d+")
 _SHAPE_BUCKETS = 512  # the first rows belong to shapes
-
-
-def shape(word: str) -> str:
-    """``Word,`` is ``Aa,``; ``WORD!!`` is ``A!``; signs are kept once each."""
-
-    def letters(m):
-        run = m.group()
-        if run.isupper() and len(run) > 1:
-            return "A"
-        if run.islower():
-            return "a"
-        return "Aa" if run[:1].isupper() and run[1:].islower() else "x" if run.lower() != run else "a"
-
-    out = _DIGITS.sub("0", _LETTERS.sub(letters, word))
-    return _SIGNS.sub(lambda m: m.group()[0], out)[:8]
-
-
-class Words(dict):
-    """word -> (its row, its shape's row, its shape's row after the same word)."""
-
-    def __missing__(self, word: str):
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        s = shape(word).encode("utf-8", "surrogatepass")
-        rows = (
-            _SHAPE_BUCKETS + zlib.crc32(word.encode("utf-8", "surrogatepass")) % (BUCKETS - _SHAPE_BUCKETS),
-            zlib.crc32(s) % _SHAPE_BUCKETS,
-            zlib.crc32(b"=" + s) % _SHAPE_BUCKETS,
-        )
-        self[word] = rows
-        return rows
-
-
-def token_rows(text: str, words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of the words of a text and of their shapes."""
-    found = text.split()
-    rows = np.array([words[w] for w in found], np.int32).reshape(-1, 3)
-    if len(rows) == 0:
-        return rows[:, 0], rows[:, 1]
-    same = np.zeros(len(found), bool)
-    same[1:] = [a == b for a, b in zip(found, found[1:])]
-    return rows[:, 0], np.where(same, rows[:, 2], rows[:, 1])
+_SHAPE_RUNS = 8  # runs of a word's shape that count
+
+_SPACE = np.array([b in b" \t\n\x0b\x0c\r" for b in range(256)])
+# 0: part of a longer character, which may be of either case; 1-3: letters and digits; signs stand for themselves
+_CLASS = np.array(
+    [0 if b >= 128 else 1 if 65 <= b <= 90 else 2 if 97 <= b <= 122 else 3 if 48 <= b <= 57 else b + 4 for b in range(256)],
+    np.int64,
+)
+_random = np.random.default_rng(17)
+_BYTE_CODES = _random.integers(1, 2**63, 256, dtype=np.uint64)
+_PLACE_CODES = _random.integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
+_AGAIN = np.uint64(0x5851F42D4C957F2D)  # any number does
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = x ^ (x >> np.uint64(29))
+    x *= np.uint64(0xC2B2AE3D27D4EB4F)
+    return x ^ (x >> np.uint64(32))
+
+
+def _sums(codes: np.ndarray, starts: np.ndarray, cut: int | None = None) -> np.ndarray:
+    """Hash of each run of codes that begins at ``starts``, by codes and places (of the first ``cut``)."""
+    place = np.arange(len(codes)) - np.repeat(starts, np.diff(np.r_[starts, len(codes)]))
+    parts = _BYTE_CODES[codes] * _PLACE_CODES[place & 63]
+    if cut:
+        parts[place >= cut] = 0
+    return np.add.reduceat(parts, starts)
+
+
+def token_rows(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of the words of all texts, rows of their shapes, and the number of each word's text.
+
+    A word is what stands between white space. Its shape is its runs of upper case, lower
+    case, digits and equal signs, and whether the word before is the same.
+    """
+    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    row = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
+    inside = np.nonzero(~_SPACE[row])[0]
+    if len(inside) == 0:
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    starts = np.nonzero(np.r_[True, np.diff(inside) != 1])[0]
+    begins = np.cumsum([0, *(len(r) + 1 for r in raw)])
+    text = np.searchsorted(begins, inside[starts], side="right") - 1
+    body = row[inside]
+    words = _mixed(_sums(body, starts))
+
+    kinds = _CLASS[body]
+    told = np.nonzero(kinds)[0]
+    kinds, owner = kinds[told], np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(body)]))[told]
+    new = np.r_[True, (kinds[1:] != kinds[:-1]) | (owner[1:] != owner[:-1])][: len(kinds)]
+    kinds, owner = kinds[new], owner[new]
+    shapes = np.zeros(len(words), np.uint64)
+    if len(kinds):
+        first = np.nonzero(np.r_[True, owner[1:] != owner[:-1]])[0]
+        shapes[owner[first]] = _sums(kinds, first, _SHAPE_RUNS)
+    again = np.r_[False, (words[1:] == words[:-1]) & (text[1:] == text[:-1])]
+    shapes[again] ^= _AGAIN
+    rows = (words % np.uint64(BUCKETS - _SHAPE_BUCKETS)).astype(np.int64) + _SHAPE_BUCKETS
+    return rows, (_mixed(shapes) % np.uint64(_SHAPE_BUCKETS)).astype(np.int64), text
 
 
 def index_vectors(seed: int = 7) -> np.ndarray:
     """``BUCKETS`` sparse vectors of +1 and -1, the same on every machine."""
     rng = np.random.default_rng(seed)
+    at = np.argsort(rng.random((BUCKETS, DIMENSIONS)), axis=1)[:, :NONZEROS]
     out = np.zeros((BUCKETS, DIMENSIONS), np.int8)
-    for row in out:
-        at = rng.choice(DIMENSIONS, NONZEROS, replace=False)
-        row[at] = rng.choice((-1, 1), NONZEROS)
+    np.put_along_axis(out, at, rng.choice(np.array([-1, 1], np.int8), at.shape), axis=1)
     return out
 
 
@@ -105,7 +117,7 @@ def _neighbour_counts(docs: DataFrame) -> DataFrame:
     schema = pa.schema([("row", pa.int32()), *((n, pa.int64()) for n in names)])
 
     def work(batches):
-        words, index = Words(), index_vectors()
+        index = index_vectors()
         cells = BUCKETS * DIMENSIONS
         total = np.zeros(cells, np.int64)
         # (dimension, sign) of each row's non-zeros, to add without touching zeros
@@ -119,26 +131,23 @@ def _neighbour_counts(docs: DataFrame) -> DataFrame:
                 np.add(total, np.bincount(cell[up], minlength=cells), out=total)
                 np.subtract(total, np.bincount(cell[~up], minlength=cells), out=total)
 
-        def add_all(streams):
-            gap = np.full(REACH, -1, np.int32)  # keeps documents apart
-            word = np.concatenate([x for w, _ in streams for x in (w, gap)])
-            kind = np.concatenate([x for _, s in streams for x in (s, gap)])
+        def add_all(texts):
+            word, kind, text = token_rows(texts)
             for reach in range(1, REACH + 1):
-                both = (word[:-reach] >= 0) & (word[reach:] >= 0)
+                both = text[reach:] == text[:-reach]
                 for rows in (word, kind):
                     left, right = rows[:-reach][both], rows[reach:][both]
                     add(left, right)
                     add(right, left)
-            inside = word >= 0
-            add(word[inside], kind[inside])
+            add(word, kind)
 
         held, n = [], 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 if text:
-                    held.append(token_rows(text, words))
-                    n += len(held[-1][0])
-                if n >= ADDED_WORDS:
+                    held.append(text)
+                    n += len(text)
+                if n >= ADDED_CHARS:
                     add_all(held)
                     held, n = [], 0
         if held:
@@ -163,16 +172,24 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     return (context + index_vectors() / np.sqrt(NONZEROS)).astype(np.float32)
 
 
-def pooled(text: str | None, words: Words, vectors: np.ndarray) -> np.ndarray:
-    out = np.zeros(2 * DIMENSIONS, np.float32)
-    if not text:
-        return out
-    word, kind = token_rows(text, words)
-    for side, rows in enumerate((word, kind)):
-        part = out[side * DIMENSIONS : (side + 1) * DIMENSIONS]
-        for at in range(0, len(rows), PIECE_WORDS):
-            part += vectors[rows[at : at + PIECE_WORDS]].sum(axis=0)
-        part /= max(1, len(rows))
+def pooled(texts: list[str | None], vectors: np.ndarray) -> np.ndarray:
+    """Per text, the mean of its words' vectors and the mean of its shapes' vectors."""
+    out = np.zeros((len(texts), 2 * DIMENSIONS), np.float32)
+    held, n, first = [], 0, 0
+    for i, t in enumerate(texts):
+        held.append(t)
+        n += len(t or "")
+        if n >= ADDED_CHARS or i == len(texts) - 1:
+            word, kind, text = token_rows(held)
+            for at in range(0, len(text), PIECE_WORDS):
+                some = text[at : at + PIECE_WORDS]
+                starts = np.nonzero(np.r_[True, some[1:] != some[:-1]])[0]
+                for side, rows in enumerate((word, kind)):
+                    sums = np.add.reduceat(vectors[rows[at : at + PIECE_WORDS]], starts, axis=0)
+                    out[first + some[starts], side * DIMENSIONS : (side + 1) * DIMENSIONS] += sums
+            counts = np.bincount(text, minlength=len(held))
+            out[first : i + 1] /= np.maximum(counts, 1)[:, None]
+            held, n, first = [], 0, i + 1
     return out
 
 
@@ -240,9 +257,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, max_rows: int =
     vectors = word_vectors(docs)
 
     def features(batches):
-        words = Words()
         for batch in batches:
-            x = [pooled(t, words, vectors).tobytes() for t in batch.column(1).to_pylist()]
+            x = [v.tobytes() for v in pooled(batch.column(1).to_pylist(), vectors)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(x, pa.binary())], ["doc_id", "y", "x"]
             )
@@ -258,17 +274,13 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, max_rows: int =
     return vectors, Network(x, np.array([y for y, _ in got.values()], np.float64))
 
 
-def _scorer(vectors: np.ndarray, network: Network) -> Callable[[list], np.ndarray]:
-    words = Words()
-    return lambda texts: network.scores(np.array([pooled(t, words, vectors) for t in texts], np.float64).reshape(-1, 2 * DIMENSIONS))
-
-
 def score_quality(docs: DataFrame, model: tuple[np.ndarray, Network]) -> DataFrame:
     """Per document ``doc_id, score``."""
+    vectors, network = model
+
     def work(batches):
-        score = _scorer(*model)
         for batch in batches:
-            s = score(batch.column(1).to_pylist())
+            s = network.scores(pooled(batch.column(1).to_pylist(), vectors).astype(np.float64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64())], ["doc_id", "score"])
 
     return in_arrow(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), work, "doc_id bigint, score double")
@@ -276,11 +288,11 @@ def score_quality(docs: DataFrame, model: tuple[np.ndarray, Network]) -> DataFra
 
 def keep_good(docs: DataFrame, model: tuple[np.ndarray, Network], threshold: float = 0.3) -> DataFrame:
     """``docs``, all columns as they were, without those that score below ``threshold``."""
-    at = docs.columns.index("text")
+    at, (vectors, network) = docs.columns.index("text"), model
 
     def work(batches):
-        score = _scorer(*model)
         for batch in batches:
-            yield batch.filter(pa.array(score(batch.column(at).to_pylist()) >= threshold, pa.bool_()))
+            s = network.scores(pooled(batch.column(at).to_pylist(), vectors).astype(np.float64))
+            yield batch.filter(pa.array(s >= threshold, pa.bool_()))
 
     return in_arrow(docs, work, docs.schema)

@@ -7,15 +7,27 @@ are encoded once. Texts for which that is not certain are encoded whole.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
+import unicodedata
 
 import numpy as np
 
-CACHED_PIECES = 300_000
-BATCH_PIECES = 4_096
+CACHED_PIECES = 500_000
 
-_UNSURE = re.compile(r"\s\s|\s\Z|\A\s|[\0\x1c-\x1f\x85]")
+# besides white space that does not stand alone: the sign that parts pieces here, and odd white space
+_UNSURE = re.compile(r"\s\s|\s\Z|\A\s|[\0\x1c-\x1f\x85\xa0]")
+
+# How the two tokenizers cut a text into words, for signs up to U+00FF (letters, numbers, others),
+# and the byte-level alphabet: printable bytes stand for themselves, the others are numbered from U+0100 on.
+_L, _N = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
+_S = "\t-\r \x85\xa0"
+_SPACED = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+_BARE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
+_LATIN = re.compile("[\x01-\xff]*")
+_PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_AS_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(_PLAIN))}
 
 
 class Encoder:
@@ -31,12 +43,34 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # a special token's name in a text is text
-        self._spaced, self._cache = spaced, {}
+        self._spaced = spaced
+        self._words: dict[str, bytes] = {}
+        # two generations: what was not asked for while one filled up is forgotten
+        self._recent: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         out = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in out]
 
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece: of each of its words by the tokenizer's model, as the tokenizer itself does it."""
+        if not _LATIN.fullmatch(piece):
+            return self._whole([piece])[0]
+        if self._spaced:
+            found = _SPACED.findall(piece)
+        else:
+            found = _BARE.findall(unicodedata.normalize("NFC", piece).lower())
+        words, ids = self._words, []
+        for word in found:
+            if word not in words:
+                if len(words) > CACHED_PIECES:
+                    words.clear()
+                as_bytes = word.encode().decode("latin-1").translate(_AS_SIGNS)
+                words[word] = np.array([t.id for t in self._tokenizer.model.tokenize(as_bytes)], "<u4").tobytes()
+            ids.append(words[word])
+        return b"".join(ids)
+
     def pieces(self, text: str) -> list[str]:
         """Pieces whose ids, put together, are the text's ids."""
         if _UNSURE.search(text):
@@ -48,16 +82,26 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         cut = [self.pieces(t or "") for t in texts]
-        cache = self._cache
-        if len(cache) > CACHED_PIECES:
-            cache.clear()
-        missing = set()
+        asked = set()
         for pieces in cut:
             if len(pieces) > 1:
-                missing.update(pieces)
-        missing = [p for p in missing if p not in cache]
-        for at in range(0, len(missing), BATCH_PIECES):
-            part = missing[at : at + BATCH_PIECES]
-            cache.update(zip(part, self._whole(part)))
-        get = cache.__getitem__
+                asked.update(pieces)
+        if len(self._recent) > CACHED_PIECES:
+            self._older, self._recent = self._recent, {}
+        recent, older = self._recent, self._older
+        missing = []
+        for piece in asked.difference(recent):
+            if (ids := older.get(piece)) is not None:
+                recent[piece] = ids
+            else:
+                missing.append(piece)
+        for piece in missing:
+            recent[piece] = self._piece(piece)
+        get = recent.__getitem__
         return [b"".join(map(get, p)) if len(p) > 1 else self._whole(p)[0] for p in cut]
+
+
+@functools.lru_cache(maxsize=4)
+def encoder(path: str, spaced: bool) -> Encoder:
+    """One per Python worker, so that tasks share what is cached."""
+    return Encoder(path, spaced)
