@@ -81,7 +81,10 @@ def latency_summary(samples: DataFrame, column: str, by: Sequence[str] = (), **s
     order = [*by, "samples", "mean_ms", *PERCENTILES, "min_ms", "max_ms"]
     if by:
         percentiles = grouped_percentiles(samples, by, column, PERCENTILES, **scan_args)
-        return samples.groupBy(*by).agg(*basics).join(percentiles, list(by)).select(*order)
+        found = percentiles.select(*[F.col(c).alias(f"_p_{c}") for c in by], *PERCENTILES)
+        same = [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in by]
+        # a group without samples stays, with 0 samples and no values
+        return samples.groupBy(*by).agg(*basics).join(found, same, "left").select(*order)
 
     row = samples.agg(*basics).first()
     n = row["samples"]
@@ -126,7 +129,8 @@ def throughput_points(events: DataFrame, every_s: float = REPORT_EVERY_S, **scan
     """Per pattern: the rate of each interval of the run (``t_us`` is its end) and the events so far."""
     size = micros(every_s)
     begins = broadcast_if_small(events.groupBy("pattern").agg(F.min("ts_us").alias("_first")))
-    since = events.select("pattern", "ts_us").join(begins, "pattern")
+    begins = begins.withColumnRenamed("pattern", "_pattern")
+    since = events.select("pattern", "ts_us").join(begins, F.col("pattern").eqNullSafe(F.col("_pattern")))
     counted = since.groupBy("pattern", floor_to(F.col("ts_us") - F.col("_first"), size).alias("t_us")).agg(
         F.count(F.lit(1)).alias("count")
     )

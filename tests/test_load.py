@@ -108,3 +108,37 @@ def test_report_rows(spark, tmp_path):
     write_report(report, str(tmp_path / "report"))
     back = spark.read.text(str(tmp_path / "report")).where("section = 'throughput_series'")
     assert sorted(json.loads(r["value"])["total"] for r in back.collect()) == [4, 8, 11]
+
+
+THIRTY_DAYS = 30 * 86_400
+
+
+@pytest.mark.parametrize(
+    "profile,duration,mean",
+    [
+        (rates.burst(50, 500, 2, 10), THIRTY_DAYS, 125.0),
+        (rates.steady(0.01), 10, 0.1),
+        (rates.ramp_up(0, 10, 100), 100, None),
+        (rates.ramp_down(8, -3, 60), 90, None),
+        (rates.ramp_up(-2, -1, 60), 90, 0.1),
+        (rates.spike(1, 50, 100, 30), 55, None),
+        (rates.sinusoidal(1, 5, 20), 33, None),
+        (rates.sinusoidal(-3, 4, 20), 47, None),
+        (rates.sinusoidal(-9, 0, 20), 47, 0.1),
+        (rates.sinusoidal(4, -3, 20), 47, None),
+    ],
+)
+def test_mean_rates_are_exact(spark, profile, duration, mean):
+    got = spark.range(1).select(rates.mean_rate(profile, F.lit(float(duration)))).first()[0]
+    if mean is None:
+        n = 200_000
+        at = (F.col("id") + 0.5) * (duration / n)
+        mean = spark.range(n).select(F.avg(rates.floored(profile)(at))).first()[0]
+    assert got == pytest.approx(mean, rel=1e-4)
+
+
+def test_latency_summary_keeps_every_group(spark):
+    rows = [("a", 1.0), ("a", 3.0), (None, 5.0), ("empty", None)]
+    df = spark.createDataFrame(rows, "kind string, ms double")
+    got = {r["kind"]: (r["samples"], r["p50_ms"]) for r in load.latency_summary(df, "ms", ["kind"]).collect()}
+    assert got == {"a": (2, 2.0), None: (1, 5.0), "empty": (0, None)}
