@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventrill.functions.times import guarded_rate
@@ -35,10 +35,19 @@ def filter_events(env: DataFrame, types=None, partitions=None, predicate: Column
     return env.where(accepts(types, partitions, predicate))
 
 
-def dedup_first(env: DataFrame, **scan_args) -> DataFrame:
-    """Keep the first arrival of each event id."""
-    ranked = OrderedScan(env, ["event_id"], ["ordinal"], **scan_args).rank("_sighting").result()
-    return ranked.where(F.col("_sighting") == 1).drop("_sighting")
+def _first_of(env: DataFrame, *keys: str) -> DataFrame:
+    """The first row of each key, in order of ``ordinal``.
+
+    ``row_number() = 1`` also cuts each map task's share to one row per key before the
+    shuffle, so a hot key needs no splitting.
+    """
+    order = Window.partitionBy(*keys).orderBy("ordinal")
+    return env.withColumn("_sighting", F.row_number().over(order)).where(F.col("_sighting") == 1).drop("_sighting")
+
+
+def dedup_first(env: DataFrame, rows_per_piece: int | None = None) -> DataFrame:
+    """Keep the first arrival of each event id. No id needs cutting, whatever ``rows_per_piece`` says."""
+    return _first_of(env, "event_id")
 
 
 def drop_processed(env: DataFrame, processed: DataFrame) -> DataFrame:
@@ -70,7 +79,8 @@ def consumer_totals(consumed: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("received"),
         (F.count(F.lit(1)) - processed).alias("filtered_out"),
         processed.alias("processed"),
-        F.coalesce(guarded_rate(processed, span), F.lit(0.0)).alias("eps"),
+        # all received at one time, as in a replay: there is no rate
+        F.when(span > 0, guarded_rate(processed, span)).otherwise(0.0).alias("eps"),
     )
 
 
@@ -80,9 +90,10 @@ def latency_percentiles(env: DataFrame, percentiles: Sequence[int] = (50, 95, 99
     Without samples every percentile is 0.
     """
     samples = env.select((F.col("received_at_us") - F.col("ts_us")).alias("us")).where(F.col("us") >= 0)
+    samples = written(samples, "latencies")
     n = samples.count()
     at = {p: floor_rank(n, p) for p in percentiles} if n else {}
-    values = values_at(samples, "us", list(at.values()))
+    values = values_at(samples, "us", list(at.values()), stored=True)
     row = [F.lit(n).cast("bigint").alias("samples")]
     row += [F.lit(values[at[p]] / 1e3 if n else 0.0).alias(f"p{p}_ms") for p in percentiles]
     return env.sparkSession.range(1).select(*row)
@@ -106,7 +117,7 @@ def commit_offsets(accepted: DataFrame, num_partitions: int, interval: int = COM
     """
     rows = written(accepted.select("partition", "sequence_number", "ordinal"), "accepted")
     full = rows.count() // interval * interval
-    edge = values_at(rows, "ordinal", [full - 1])[full - 1] if full else None
+    edge = values_at(rows, "ordinal", [full - 1], stored=True)[full - 1] if full else None
     in_time = F.col("ordinal") <= F.lit(edge).cast("bigint")
     seen = rows.groupBy("partition").agg(
         F.max("sequence_number").alias("_pending"),
@@ -127,15 +138,18 @@ def take_accepted(accepted: DataFrame, n: int) -> DataFrame:
     """The first ``n`` accepted events in arrival order (all of them if there are fewer)."""
     if n <= 0:
         return accepted.limit(0)
+    accepted = written(accepted, "accepted")
     total = accepted.count()
     if total <= n:
         return accepted
-    edge = values_at(accepted, "ordinal", [n - 1])[n - 1]
+    edge = values_at(accepted, "ordinal", [n - 1], stored=True)[n - 1]
     return accepted.where(F.col("ordinal") <= F.lit(edge))
 
 
 def consumer_stats(consumed: DataFrame, percentiles: Sequence[int] = (50, 95, 99)) -> DataFrame:
     """All consumer statistics in long form: ``metric, key, value``."""
+    # one pass over what led here: every part below reads this narrow table
+    consumed = written(consumed.select("processed", "event_type", "partition", "ts_us", "received_at_us"), "consumed")
     done = consumed.where("processed")
     totals = consumer_totals(consumed)
     span_s = F.greatest((F.max("received_at_us") - F.min("received_at_us")) / 1e6, F.lit(0.001))

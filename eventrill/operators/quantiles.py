@@ -18,15 +18,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventrill.operators.order import OrderedScan
+from eventrill.session import broadcast_if_small, written
 
 SORT_ROWS = 200_000
 CELLS = 1_024
-MAX_ROUNDS = 64
 
 
-def values_at(df: DataFrame, value: str, positions: Sequence[int]) -> dict[int, float]:
-    """Values at 0-based ``positions`` of the ascending, non-null ``value`` column."""
+def values_at(df: DataFrame, value: str, positions: Sequence[int], stored: bool = False) -> dict[int, float]:
+    """Values at 0-based ``positions`` of the ascending, non-null ``value`` column.
+
+    The column is written once and each round reads that: what led to it is computed once,
+    and gives every round the same values. ``stored`` says that ``df`` is such a table.
+    """
+    if not positions:
+        return {}
     rows = df.select(F.col(value).alias("v")).where(F.col("v").isNotNull())
+    if not stored:
+        rows = written(rows, "values")
     found: dict[int, float] = {}
     wanted = sorted(set(positions))
     if not wanted:
@@ -35,7 +43,7 @@ def values_at(df: DataFrame, value: str, positions: Sequence[int]) -> dict[int,
     if wanted[0] < 0 or wanted[-1] >= whole["n"]:
         raise IndexError(f"positions {wanted} are outside 0..{whole['n'] - 1}")
     spans = [(whole["lo"], whole["hi"], 0, whole["n"], wanted)]  # lo, hi, rows below, rows, positions
-    for _ in range(MAX_ROUNDS):
+    while True:  # a round leaves each span at most half as wide, so this ends
         for lo, hi, _, _, held in spans:
             if lo == hi:
                 found.update(dict.fromkeys(held, lo))
@@ -123,8 +131,9 @@ def grouped_percentiles(
         .agg(F.count(F.lit(1)).alias("_c"))
     )
     walked = OrderedScan(counts, by, ["_v"], **scan_args).running_sum("_upto", "_c").result()
-    totals = counts.groupBy(*by).agg(F.sum("_c").alias("_n"))
-    rows = walked.join(totals, by)
+    totals = counts.groupBy(*[F.col(c).alias(f"_t_{c}") for c in by]).agg(F.sum("_c").alias("_n"))
+    totals = broadcast_if_small(written(totals, "totals"))  # a row per group
+    rows = walked.join(totals, [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in by])
 
     def value_at(position: Column) -> Column:
         holds = (position >= F.col("_upto") - F.col("_c")) & (position < F.col("_upto"))

@@ -7,16 +7,15 @@ that is no JSON object, makes the line a reject. Blank lines are skipped.
 
 from __future__ import annotations
 
-import re
+import time
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventrill.schema import ENVELOPE
+from eventrill.session import broadcast_if_small, written
 
-_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
-MAX_BROADCAST_FILES = 1_000_000
-FILE_STRIDE = 1 << 42  # bytes: more than any one log file holds
+MAX_INFLATION = 1_100  # a compressed file holds at most so many lines per byte (deflate: 1,032)
 
 _TYPE_DEFAULT_ANALYSIS = "unknown"
 _TYPE_DEFAULT_CONSUMER = ""
@@ -76,27 +75,25 @@ def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     Within a file it is the byte at which the line's split starts plus the line's number
     in its task. A split ends before the next one starts, a line has at least one byte,
     and only the last split of a file can share a task with other splits, so this never
-    runs backwards.
+    runs backwards. Files, by path, begin where the sizes of those before them end.
     """
-    text = spark.read.text(path)
-    files = sorted(text.inputFiles())
     line_no = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    rows = text.select(
+    rows = spark.read.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         (F.col("_metadata.file_block_start") + line_no).alias("_at"),
     )
-    if len(files) <= 1:
-        return rows.withColumn("ordinal", F.col("_at")).drop("_at")
-    # the two listings write the scheme differently (file:/ and file:///): compare paths
-    ranked = [(re.sub(_SCHEME, "", f), i) for i, f in enumerate(files)]
-    ranks = spark.createDataFrame(ranked, "_path string, _file bigint")
-    if len(files) <= MAX_BROADCAST_FILES:  # one short row per file; more are joined by a shuffle
-        ranks = F.broadcast(ranks)
-    rows = rows.withColumn("_path", F.regexp_replace("file", _SCHEME, ""))
-    unknown = F.raise_error(F.concat(F.lit("file not in the listing: "), F.col("file"))).cast("bigint")
-    ordinal = F.coalesce(F.col("_file"), unknown) * FILE_STRIDE + F.col("_at")
-    return rows.join(ranks, "_path", "left").withColumn("ordinal", ordinal).drop("_at", "_file", "_path")
+    # one short row per file, taken from the listing: the contents are not read
+    sizes = spark.read.format("binaryFile").load(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("_bytes")
+    )
+    earlier = F.sum(F.col("_bytes") * MAX_INFLATION + 1).over(
+        Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    begins = sizes.select("file", F.coalesce(earlier, F.lit(0)).alias("_begin"))
+    ordinal = F.col("_begin") + F.col("_at")
+    joined = rows.join(broadcast_if_small(written(begins, "files")), "file")
+    return joined.withColumn("ordinal", ordinal).select("value", "file", "ordinal")
 
 
 def read_event_log(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
@@ -104,10 +101,17 @@ def read_event_log(spark: SparkSession, path: str | list[str]) -> tuple[DataFram
     return _split(to_envelope(_lines(spark, path)))
 
 
-def replay_event_log(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """(envelopes with ``received_at_us``, rejected lines) for consumption, in file order by ``ordinal``."""
+def replay_event_log(
+    spark: SparkSession, path: str | list[str], received_at_us: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(envelopes with ``received_at_us``, rejected lines) for consumption, in file order by ``ordinal``.
+
+    All events of one replay are received at one time, that of this call if none is given:
+    a time that differed from job to job would give other latencies each time it is read.
+    """
     env, rejects = _split(to_envelope(_lines(spark, path), _TYPE_DEFAULT_CONSUMER))
-    return env.withColumn("received_at_us", F.unix_micros(F.current_timestamp())), rejects
+    now = time.time_ns() // 1_000 if received_at_us is None else received_at_us
+    return env.withColumn("received_at_us", F.lit(now).cast("bigint")), rejects
 
 
 def _split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -119,13 +123,19 @@ def read_event_stream(spark: SparkSession, path: str, files_per_trigger: int | N
     """Envelopes of a growing directory of JSON-lines files, as a streaming DataFrame.
 
     ``files_per_trigger`` paces a replay. ``ordinal`` is when the line's file was written.
+    Lines read and rejected are counted per micro-batch in the query's progress, as
+    ``observedMetrics["lines"]``.
     """
     reader = spark.readStream.format("text")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     written_at = F.unix_micros("_metadata.file_modification_time")
     lines = reader.load(path).select("value", written_at.alias("ordinal"))
-    rows = to_envelope(lines, _TYPE_DEFAULT_CONSUMER).where(~F.col("rejected")).select(*ENVELOPE_COLUMNS)
+    parsed = to_envelope(lines, _TYPE_DEFAULT_CONSUMER)
+    counted = parsed.observe(
+        "lines", F.count(F.lit(1)).alias("read"), F.coalesce(F.count_if("rejected"), F.lit(0)).alias("rejected")
+    )
+    rows = counted.where(~F.col("rejected")).select(*ENVELOPE_COLUMNS)
     return rows.withColumn("received_at_us", F.unix_micros(F.current_timestamp()))
 
 

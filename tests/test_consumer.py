@@ -92,3 +92,16 @@ def test_stats(make_env):
     stats = {(r["metric"], r["key"]): r["value"] for r in consumer.consumer_stats(consumer.consume(env)).collect()}
     assert stats[("by_type", "A")] == 1 and stats[("by_partition", "1")] == 2
     assert stats[("p50_ms", "")] == 2.0 and stats[("received", "")] == 2
+
+
+def test_latency_over_a_replay_is_stable(spark, write_lines):
+    from eventrill.sources import eventlog
+
+    lines = [{"event_id": str(i), "event_type": "Click", "timestamp": 1_700_000_000 + i / 1000} for i in range(2_000)]
+    events, rejects = eventlog.replay_event_log(spark, write_lines([*lines, "broken"]))
+    row = consumer.latency_percentiles(events).first()
+    received = events.agg(F.min("received_at_us"), F.max("received_at_us")).first()
+    assert received[0] == received[1] and rejects.count() == 1
+    latencies = sorted((received[0] - 1_700_000_000_000_000 - i * 1000) / 1e3 for i in range(2_000))
+    assert tuple(row) == (2_000, latencies[1000], latencies[1900], latencies[1980])
+    assert consumer.consumer_totals(consumer.consume(events)).first()["eps"] == 0.0
