@@ -122,24 +122,33 @@ def append_log(
     return with_checksum(with_record_size(placed.withColumnRenamed("_nth", "offset")))
 
 
-def topic_stats(log: DataFrame) -> DataFrame:
+def topic_partitions(topics: DataFrame) -> DataFrame:
+    """Every partition of ``topics(topic, num_partitions)``, with records or without."""
+    numbers = F.sequence(F.lit(0), (F.col("num_partitions") - 1).cast("int"))
+    return topics.where("num_partitions > 0").select("topic", F.explode(numbers).alias("partition"))
+
+
+def topic_stats(log: DataFrame, topics: DataFrame | None = None) -> DataFrame:
     """Per partition: log start, high watermark, end, entries, bytes.
 
-    The high watermark follows the last record appended with acknowledgement; an
+    With ``topics`` their partitions without records are there too, all zero. The high watermark follows the last record appended with acknowledgement; an
     acknowledged record also makes the unacknowledged ones before it readable.
     """
     acked = F.max(F.when(F.col("acks") != "none", F.col("offset")))
-    return log.groupBy(*TP).agg(
+    found = log.groupBy(*TP).agg(
         F.min("offset").alias("log_start_offset"),
         (F.coalesce(acked, F.lit(-1)) + 1).cast("bigint").alias("high_watermark"),
         (F.max("offset") + 1).alias("end_offset"),
         F.count(F.lit(1)).alias("entries"),
         F.sum("size_bytes").alias("total_bytes"),
     )
+    if topics is None:
+        return found
+    return topic_partitions(topics).join(found, TP, "left").fillna(0)
 
 
-def watermarks(log: DataFrame) -> DataFrame:
-    return topic_stats(log).select(*TP, "high_watermark", "end_offset")
+def watermarks(log: DataFrame, topics: DataFrame | None = None) -> DataFrame:
+    return topic_stats(log, topics).select(*TP, "high_watermark", "end_offset")
 
 
 def _first_per_partition(rows: DataFrame, n: int) -> DataFrame:
@@ -203,9 +212,11 @@ def poll(
     return fetched, new.select(F.lit(group_id).alias("group_id"), *TP, "committed")
 
 
-def consumer_lag(log: DataFrame, commits: DataFrame, group_id: str) -> DataFrame:
-    """Records not yet committed per partition."""
+def consumer_lag(log: DataFrame, commits: DataFrame, group_id: str, topics: DataFrame | None = None) -> DataFrame:
+    """Records not yet committed per partition; with ``topics`` also of partitions without records (0)."""
     ends = log.groupBy(*TP).agg((F.max("offset") + 1).alias("end_offset"))
+    if topics is not None:
+        ends = topic_partitions(topics).join(ends, TP, "left").fillna(0, ["end_offset"])
     behind = F.greatest(F.col("end_offset") - (F.col("committed") + 1), F.lit(0))
     return committed_offset(ends, commits, group_id).withColumn("lag", behind)
 
@@ -232,11 +243,12 @@ def apply_retention(log: DataFrame, retention_bytes: int = RETENTION_BYTES, **sc
 def compact(log: DataFrame) -> DataFrame:
     """The last record of each key per partition; records without a key all stay.
 
-    An aggregate, not a window: a key with most of the log is reduced before the shuffle.
+    Only offsets are aggregated, by hash and with a map-side part, so a key with most of the
+    log is reduced before the shuffle; the rows are then picked by partition and offset.
     """
-    alone = F.when(F.col("key").isNull(), F.col("offset")).alias("_alone")
-    last = log.groupBy(*TP, "key", alone).agg(F.max_by(F.struct(*log.columns), "offset").alias("_row"))
-    return last.select("_row.*")
+    last = log.where(F.col("key").isNotNull()).groupBy(*TP, "key").agg(F.max("offset").alias("offset"))
+    kept = log.where(F.col("key").isNotNull()).join(last.select(*TP, "offset"), [*TP, "offset"], "left_semi")
+    return log.where(F.col("key").isNull()).unionByName(kept.select(*log.columns))
 
 
 def list_topics(topics: DataFrame) -> DataFrame:

@@ -192,3 +192,21 @@ def test_flat_listing(spark, make_log):
     assert tl.flatten_log(log).columns == [
         "offset", "partition", "ts", "key", "value", "headers", "record_id", "checksum"
     ]
+
+
+def test_partitions_without_records_are_listed(spark):
+    log = spark.createDataFrame(
+        [("t", 1, 0, "leader", 10), ("t", 1, 1, "none", 10)], "topic string, partition int, offset bigint, acks string, size_bytes bigint"
+    )
+    topics = spark.createDataFrame([("t", 3), ("u", 1), ("none", 0)], "topic string, num_partitions int")
+    stats = {(r["topic"], r["partition"]): tuple(r)[2:] for r in tl.topic_stats(log, topics).collect()}
+    assert stats == {("t", 0): (0,) * 5, ("t", 1): (0, 1, 2, 2, 20), ("t", 2): (0,) * 5, ("u", 0): (0,) * 5}
+    commits = spark.createDataFrame([("g", "t", 1, 0)], "group_id string, topic string, partition int, committed bigint")
+    lag = {(r["topic"], r["partition"]): r["lag"] for r in tl.consumer_lag(log, commits, "g", topics).collect()}
+    assert lag == {("t", 0): 0, ("t", 1): 1, ("t", 2): 0, ("u", 0): 0}
+
+
+def test_compaction_hashes(spark):
+    log = spark.createDataFrame([], "topic string, partition int, offset bigint, key string, value string")
+    plan = tl.compact(log)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
