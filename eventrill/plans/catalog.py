@@ -409,7 +409,8 @@ def _(spark, d):
     env_sql(
         f""", {_CONSUMED} SELECT count(*) AS received, count(*) FILTER (WHERE NOT processed) AS filtered_out,
         count(*) FILTER (WHERE processed) AS processed,
-        count(*) FILTER (WHERE processed) / greatest((max(received_at_us) - min(received_at_us)) / 1e6, 0.001) AS eps FROM c"""
+        CASE WHEN max(received_at_us) > min(received_at_us) THEN count(*) FILTER (WHERE processed)
+             / greatest((max(received_at_us) - min(received_at_us)) / 1e6, 0.001) ELSE 0.0 END AS eps FROM c"""
     ),
 )
 def _(spark, d):
@@ -485,6 +486,54 @@ def _(spark, d):
     return consumer.commit_offsets(_accepted(spark, d), 6)
 
 
+_REPLAY_US = 1_800_000_000_000_000
+
+
+def _replay_lines(events: DataFrame) -> DataFrame:
+    """The events as JSON lines, and for some of them a blank line, a broken one or one without a number."""
+    broken = F.concat(F.substring(eventlog.to_json_line(events), 1, 25), F.lit("..."))
+    extra = F.array_compact(F.array(
+        eventlog.to_json_line(events),
+        F.when(F.pmod("ordinal", F.lit(7)) == 0, "  "),
+        F.when(F.pmod("ordinal", F.lit(11)) == 0, broken),
+        F.when(F.pmod("ordinal", F.lit(13)) == 0, F.lit('{"event_type": "click", "timestamp": null}')),
+    ))
+    return events.select(F.explode(extra).alias("value"))
+
+
+def _replayed(spark, d) -> tuple[DataFrame, DataFrame]:
+    path = shared_dir(spark, "replay")
+    _replay_lines(tables.enveloped(spark, d)).write.text(path)
+    return eventlog.replay_event_log(spark, path, _REPLAY_US)
+
+
+@query(
+    "replay_consumer_stats",
+    env_sql(
+        f"""{_FLOOR.format(src='r', more='').replace("l AS (SELECT", f", r AS (SELECT * REPLACE ({_REPLAY_US} AS received_at_us) FROM base), l AS (SELECT")},
+        o AS (
+        SELECT 'received' AS metric, '' AS key, count(*) AS value FROM base
+        UNION ALL SELECT 'filtered_out', '', 0
+        UNION ALL SELECT 'processed', '', count(*) FROM base
+        UNION ALL SELECT 'eps', '', 0
+        UNION ALL SELECT 'elapsed_s', '', 0.001
+        UNION ALL SELECT 'samples', '', samples FROM q
+        UNION ALL SELECT 'p50_ms', '', p50_ms FROM q
+        UNION ALL SELECT 'p95_ms', '', p95_ms FROM q
+        UNION ALL SELECT 'p99_ms', '', p99_ms FROM q
+        UNION ALL SELECT 'by_type', event_type, count(*) FROM base GROUP BY 2
+        UNION ALL SELECT 'by_partition', CAST("partition" AS VARCHAR), count(*) FROM base GROUP BY 2
+        UNION ALL SELECT 'rejects', '', count(*) FILTER (ordinal % 11 = 0) + count(*) FILTER (ordinal % 13 = 0) FROM base)
+        SELECT metric, key, CAST(value AS DOUBLE) AS value FROM o"""
+    ),
+)
+def _(spark, d):
+    events, rejects = _replayed(spark, d)
+    stats = consumer.consumer_stats(consumer.consume(events))
+    count = rejects.agg(F.count(F.lit(1)).cast("double").alias("value"))
+    return stats.unionByName(count.select(F.lit("rejects").alias("metric"), F.lit("").alias("key"), "value"))
+
+
 @query(
     "take_accepted",
     env_sql(f", {_CONSUMED} SELECT event_id, ordinal FROM c WHERE processed ORDER BY ordinal LIMIT 250"),
@@ -499,6 +548,11 @@ def _log(spark, d):
     return topiclog.append_log(tables.records(spark, d), tables.topics(spark, d))
 
 
+def _wider_topics(spark, d):
+    """The topics with two partitions more than any record goes to."""
+    return tables.topics(spark, d).withColumn("num_partitions", F.col("num_partitions") + 2)
+
+
 def _stored_log(spark, d):
     """The log as the table it is in use: appended once, then read by several operators."""
     return written(_log(spark, d), "topic-log")
@@ -633,13 +687,15 @@ def _(spark, d):
 _LAG = """
   part_lag AS (SELECT e.topic, e."partition", end_offset, coalesce(c.committed, -1) AS committed,
                       greatest(end_offset - (coalesce(c.committed, -1) + 1), 0) AS lag
-               FROM (SELECT topic, "partition", max("offset") + 1 AS end_offset FROM log GROUP BY 1, 2) e
+               FROM (SELECT topic, "partition", max("offset") + 1 AS end_offset FROM log GROUP BY 1, 2
+                     UNION ALL SELECT topic, num_partitions, 0 FROM topics
+                     UNION ALL SELECT topic, num_partitions + 1, 0 FROM topics) e
                LEFT JOIN commits c USING (topic, "partition"))"""
 
 
 def _part_lag(spark, d):
     log = _stored_log(spark, d)
-    return topiclog.consumer_lag(log, tables.commits_of(log), tables.GROUP)
+    return topiclog.consumer_lag(log, tables.commits_of(log), tables.GROUP, _wider_topics(spark, d))
 
 
 @query("consumer_lag", log_sql(f", {_LAG} SELECT * FROM part_lag"))
@@ -695,11 +751,25 @@ def _(spark, d):
         """SELECT topic, "partition", min("offset") AS log_start_offset,
                   coalesce(max("offset") FILTER (WHERE acks <> 'none'), -1) + 1 AS high_watermark,
                   max("offset") + 1 AS end_offset, count(*) AS entries, CAST(sum(size_bytes) AS BIGINT) AS total_bytes
-           FROM log GROUP BY 1, 2"""
+           FROM log GROUP BY 1, 2
+           UNION ALL SELECT topic, num_partitions, 0, 0, 0, 0, 0 FROM topics
+           UNION ALL SELECT topic, num_partitions + 1, 0, 0, 0, 0, 0 FROM topics"""
     ),
 )
 def _(spark, d):
-    return topiclog.topic_stats(_log(spark, d))
+    return topiclog.topic_stats(_log(spark, d), _wider_topics(spark, d))
+
+
+@query(
+    "topic_watermarks",
+    log_sql(
+        """SELECT topic, "partition", coalesce(max("offset") FILTER (WHERE acks <> 'none'), -1) + 1 AS high_watermark,
+                  max("offset") + 1 AS end_offset FROM log GROUP BY 1, 2
+           UNION ALL SELECT topic, num_partitions, 0, 0 FROM topics UNION ALL SELECT topic, num_partitions + 1, 0, 0 FROM topics"""
+    ),
+)
+def _(spark, d):
+    return topiclog.watermarks(_log(spark, d), _wider_topics(spark, d))
 
 
 @query("list_topics", log_sql("SELECT topic FROM topics"))
@@ -923,13 +993,13 @@ def _run_profiles() -> dict[str, rates.Profile]:
     "rate_conformance",
     """WITH r AS (SELECT event_type AS pattern, count(*) AS total_events, (max(epoch_us(ts)) - min(epoch_us(ts))) / 1e6 AS dur
                   FROM events GROUP BY 1),
-    p AS (SELECT pattern, dur, (i + 0.5::DOUBLE) * (dur / 1000) AS t FROM r, (SELECT range AS i FROM range(0, 1000)) g),
-    m AS (SELECT pattern, sum(greatest(CASE pattern
-            WHEN 'error' THEN 0.001 WHEN 'click' THEN 10 * least(t / dur, 1.0)
-            WHEN 'view' THEN 1 + 4 * ((sin(t * (2 * pi() / 604800)) + 1) / 2)
-            WHEN 'purchase' THEN CASE WHEN t % 43200.0 < 7200 THEN 20.0 ELSE 1.0 END
-            WHEN 'signup' THEN CASE WHEN t >= 0.4::DOUBLE * dur AND t < 0.4::DOUBLE * dur + 86400 THEN 50.0 ELSE 1.0 END END, 0.1)) / 1000 AS target
-          FROM p GROUP BY 1)
+    m AS (SELECT pattern, CASE pattern
+            WHEN 'error' THEN 0.1
+            WHEN 'click' THEN 0.1 + 9.9 * 9.9 / (2 * 10)
+            WHEN 'view' THEN 3 + 2 * (1 - cos(2 * pi() / 604800 * dur)) / (2 * pi() / 604800 * dur)
+            WHEN 'purchase' THEN 1 + 19 * (floor(dur / 43200) * 7200 + least(dur % 43200.0::DOUBLE, 7200)) / dur
+            WHEN 'signup' THEN 1 + 49 * least(greatest(0.6::DOUBLE * dur, 0), 86400) / dur END AS target
+          FROM r)
     SELECT pattern, total_events, dur AS duration_s, total_events / greatest(dur, 0.001) AS actual_eps,
            round(target, 6) AS target_eps,
            round(total_events / greatest(dur, 0.001) * 100 / greatest(target, 0.001), 6) AS conformance_pct
@@ -1053,66 +1123,71 @@ def _(spark, d):
     return parsed.select("event_id", *[f"data.{f}" for f in fields])
 
 
-def _round_trip_sql() -> str:
-    return f"""{_SYNTH} SELECT md5({_S} || ':id') AS event_id, event_type, ts_us, partition_key,
-        event_id + 1 AS sequence_number FROM y"""
+_ROUND_TRIP = env_sql(
+    """SELECT event_id, event_type, ts_us, partition_key, "partition", sequence_number, producer_id, '1.0' AS schema_version,
+       event_type AS topic, 4::INTEGER AS num_partitions, replace(payload, ' ', '') AS payload FROM base"""
+)
 
 
-_TRIP = ("event_id", "event_type", "ts_us", "partition_key", "sequence_number")
+def _trip(events: DataFrame) -> DataFrame:
+    fields = ["event_id", "event_type", "ts_us", "partition_key", "partition", "sequence_number", "producer_id"]
+    body = F.replace("payload", F.lit(" "), F.lit("")).alias("payload")
+    return events.select(*fields, "metadata.schema_version", "metadata.topic", "metadata.num_partitions", body)
 
 
-@query("event_log_round_trip", _round_trip_sql())
+@query("event_log_round_trip", _ROUND_TRIP)
 def _(spark, d):
     path = shared_dir(spark, "event-log")
-    eventlog.write_event_log(_synthetic(spark, d), path)
-    return eventlog.read_event_log(spark, path)[0].select(*_TRIP)
+    eventlog.write_event_log(tables.enveloped(spark, d), path)
+    return _trip(eventlog.read_event_log(spark, path)[0])
 
 
-@query("sse_round_trip", _round_trip_sql())
+@query("sse_round_trip", _ROUND_TRIP)
 def _(spark, d):
     path = shared_dir(spark, "sse")
-    eventlog.write_sse(_synthetic(spark, d), path)
-    return eventlog.read_sse_capture(spark, path)[0].select(*_TRIP)
+    eventlog.write_sse(tables.enveloped(spark, d), path)
+    return _trip(eventlog.read_sse_capture(spark, path)[0])
+
+
+# -- streams: several micro-batches, bounded --------------------------------------------------------
 
+LATE = HOUR / 2
 
-# -- streams: closed windows only --------------------------------------------------------
 
-def _closed(size: int, by: str, src: str = "base", delay: int = H_US) -> str:
-    return f"""SELECT * FROM (
-        SELECT ts_us // {size} * {size} AS start_us, ts_us // {size} * {size} + {size} AS end_us, {by}, count(*) AS count
-        FROM {src} GROUP BY 1, 2, 3)
-      WHERE end_us <= (SELECT max(ts_us) FROM {src}) - {delay}"""
+def _windows(size: int, by: str, src: str = "base") -> str:
+    return f"""SELECT ts_us // {size} * {size} AS start_us, ts_us // {size} * {size} + {size} AS end_us, {by}, count(*) AS count
+        FROM {src} GROUP BY 1, 2, 3"""
 
 
-@query("stream_tumbling", env_sql(_closed(D_US, "event_type")))
+def _bounded_stream(spark, d):
+    """Several micro-batches, late events among them, and an end that closes every window."""
+    events = tables.event_stream(spark, d, late_s=LATE, closing_s=4 * DAY)
+    return streams.with_watermark(events, HOUR)
+
+
+@query("stream_tumbling", env_sql(_windows(D_US, "event_type")))
 def _(spark, d):
-    events = streams.with_watermark(tables.event_stream(spark, d), HOUR)
-    return streams.run_to_table(streams.stream_tumbling(events, DAY, ["event_type"]), "tumbling")
+    return streams.run_to_table(streams.stream_tumbling(_bounded_stream(spark, d), DAY, ["event_type"]), "tumbling")
 
 
 @query(
     "stream_sliding",
     env_sql(
         f", x AS (SELECT (ts_us // {6 * H_US} - k.i) * {6 * H_US} AS s, ts_us FROM base, (SELECT unnest([0, 1]) AS i) k) "
-        f"SELECT s AS start_us, s + {12 * H_US} AS end_us, count(*) AS count FROM x GROUP BY s "
-        f"HAVING s + {12 * H_US} <= (SELECT max(ts_us) FROM base) - {H_US}"
+        f"SELECT s AS start_us, s + {12 * H_US} AS end_us, count(*) AS count FROM x GROUP BY s"
     ),
 )
 def _(spark, d):
-    events = streams.with_watermark(tables.event_stream(spark, d), HOUR)
-    return streams.run_to_table(streams.stream_sliding(events, 12 * HOUR, 6 * HOUR), "sliding")
+    return streams.run_to_table(streams.stream_sliding(_bounded_stream(spark, d), 12 * HOUR, 6 * HOUR), "sliding")
 
 
 @query(
     "stream_sessions",
-    env_sql(
-        f", {_session_sql(6 * H_US, 'partition_key').replace('FROM env', 'FROM base')} SELECT * FROM win "
-        f"WHERE end_us + {6 * H_US} <= (SELECT max(ts_us) FROM base) - {H_US}"
-    ),
+    env_sql(f", {_session_sql(6 * H_US, 'partition_key').replace('FROM env', 'FROM base')} SELECT * FROM win"),
 )
 def _(spark, d):
-    events = streams.with_watermark(tables.event_stream(spark, d), HOUR)
-    return streams.run_to_table(streams.stream_sessions(events, 6 * HOUR, ["partition_key"]), "sessions")
+    sessions = streams.stream_sessions(_bounded_stream(spark, d), 6 * HOUR, ["partition_key"])
+    return streams.run_to_table(sessions, "sessions")
 
 
 @query("stream_dedup", env_sql("SELECT DISTINCT event_id, event_type FROM env"))
@@ -1125,18 +1200,18 @@ def _(spark, d):
     "stream_metrics",
     life_sql(
         ", f AS (SELECT * FROM lifecycle WHERE kind = 'produced' OR attempt = 1) "
-        + _closed(H_US, "kind", "f")
+        + _windows(H_US, "kind", "f")
     ),
 )
 def _(spark, d):
-    steps = streams.with_watermark(tables.lifecycle_stream(spark, d), HOUR)
+    steps = streams.with_watermark(tables.lifecycle_stream(spark, d, late_s=LATE, closing_s=4 * DAY), HOUR)
     return streams.run_to_table(streams.stream_metrics(steps, HOUR), "metrics")
 
 
 @query("stream_commits", env_sql('SELECT "partition", max(sequence_number) AS committed FROM base GROUP BY 1'))
 def _(spark, d):
     commits = OffsetCommits(spark, shared_dir(spark, "commits"))
-    streams.run_batches(tables.event_stream(spark, d), commits, shared_dir(spark, "commits-checkpoint"))
+    streams.run_batches(tables.event_stream(spark, d, late_s=LATE), commits, shared_dir(spark, "commits-checkpoint"))
     return commits.table.latest()
 
 
@@ -1165,4 +1240,4 @@ def _(spark, d):
 def _(spark, d):
     router = RetryRouter(spark, shared_dir(spark, "retries"))
     streams.run_batches(tables.attempt_stream(spark, d), router, shared_dir(spark, "retries-checkpoint"))
-    return router.outcomes.latest()
+    return router.newest()

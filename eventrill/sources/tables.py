@@ -12,8 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventrill.operators.topiclog import key_hash
+from eventrill.session import shared_dir
 
 NUM_PARTITIONS = 4
+STREAM_BATCHES = 5
+FILES_PER_BATCH = 2
 GROUP = "analytics"
 
 
@@ -126,18 +129,49 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", "ts_us", F.col("event_type").alias("pattern"), "amount")
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table as a streaming source of envelopes (without redeliveries), with ``ts`` as event time."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    raw = reader.parquet(sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
-    return _typed(raw).drop("_group").withColumn("ts", F.timestamp_micros("ts_us"))
+def enveloped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table, without redeliveries, with every field of an envelope."""
+    rows = _typed(raw_events(spark, sf_dir)).drop("_group")
+    kind = "struct<schema_version: string, topic: string, num_partitions: int>"
+    about = F.struct(F.lit("1.0"), F.col("event_type"), F.lit(NUM_PARTITIONS)).cast(kind)
+    return rows.withColumn("metadata", about).withColumn("ts", F.timestamp_micros("ts_us"))
+
+
+def event_stream(
+    spark: SparkSession, sf_dir: str, late_s: float = 0, closing_s: float | None = None
+) -> DataFrame:
+    """The table as a stream of ``STREAM_BATCHES`` micro-batches of envelopes, ``ts`` the event time.
+
+    The events (without redeliveries) are written in order of time, one part per batch. With
+    ``late_s`` every tenth event counts as that much later when it is dealt to a part, so that
+    some come a batch late, but no later than ``late_s``. With ``closing_s`` one more event,
+    so much after the last one, ends the stream: it makes a bounded run give its last windows.
+    """
+    rows = _typed(raw_events(spark, sf_dir)).drop("_group").withColumn("ts", F.timestamp_micros("ts_us"))
+    lo, hi = rows.agg(F.min("ts_us"), F.max("ts_us")).first()
+    path = shared_dir(spark, "event-stream")
+    if hi is None:
+        rows.write.parquet(path)
+    else:
+        tardy = F.when(F.pmod("sequence_number", F.lit(10)) == 0, round(late_s * 1_000_000)).otherwise(0)
+        width = max(1, -(-(hi - lo + 1) // STREAM_BATCHES))
+        part = F.least(F.floor((F.col("ts_us") - lo + tardy) / width), F.lit(STREAM_BATCHES - 1))
+        for k in range(STREAM_BATCHES):  # one after another: the files' times give their order
+            rows.where(part == k).repartition(FILES_PER_BATCH).write.mode("append").parquet(path)
+        if closing_s is not None:
+            last = F.lit(hi + round(closing_s * 1_000_000)).cast("bigint")
+            end = spark.range(1).select(*[
+                (last if c == "ts_us" else F.timestamp_micros(last) if c == "ts" else F.lit(None).cast(rows.schema[c].dataType)).alias(c)
+                for c in rows.columns
+            ])
+            end.write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(path)
 
 
 def redelivered_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_stream`` with the second deliveries of ``error`` events."""
     sightings = F.when(F.col("event_type") == "error", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    copies = event_stream(spark, sf_dir).withColumn("_again", F.explode(sightings))
+    copies = event_stream(spark, sf_dir, late_s=1_800).withColumn("_again", F.explode(sightings))
     later = F.col("ts_us") + F.col("_again") * 1_000_000
     return copies.withColumn("ts_us", later).withColumn("ts", F.timestamp_micros("ts_us")).drop("_again")
 
@@ -148,13 +182,13 @@ def attempt_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("event_id").alias("message_id"), "attempt", ok.alias("ok"))
 
 
-def lifecycle_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lifecycle_stream(spark: SparkSession, sf_dir: str, **stream) -> DataFrame:
     """Production and first attempt of each message, as they happen."""
     outcome = F.when(_fails(F.col("event_id"), F.lit(1)), "retry").otherwise("consumed")
     steps = F.array(
         F.struct(F.lit("produced").alias("kind"), F.lit(0).alias("_later")),
         F.struct(outcome.alias("kind"), F.lit(1).alias("_later")),
     )
-    rows = event_stream(spark, sf_dir).select("ts_us", F.inline(steps))
+    rows = event_stream(spark, sf_dir, **stream).select("ts_us", F.inline(steps))
     at = F.timestamp_micros(F.col("ts_us") + F.col("_later") * 1_000_000)
     return rows.select(at.alias("ts"), "kind")

@@ -16,13 +16,18 @@ from pyspark.sql import functions as F
 from eventrill.functions.times import micros
 from eventrill.operators.lifecycle import MAX_RETRIES, route_retries
 from eventrill.operators.order import OrderedScan
+from eventrill.session import broadcast_if_small
 
 
 class BatchTable:
-    """A table with one folder per batch id."""
+    """A table with one folder per batch id.
 
-    def __init__(self, spark: SparkSession, path: str, schema: str) -> None:
-        self._spark, self._path, self._schema = spark, path.rstrip("/"), schema
+    With ``keep`` only the newest so many batches stay: state needs the one before, for a
+    batch that is run again.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, keep: int | None = None) -> None:
+        self._spark, self._path, self._schema, self._keep = spark, path.rstrip("/"), schema, keep
 
     def before(self, batch_id: int) -> DataFrame:
         """What the batch before wrote; empty for the first one."""
@@ -33,6 +38,10 @@ class BatchTable:
     def write(self, df: DataFrame, batch_id: int) -> DataFrame:
         path = f"{self._path}/batch={batch_id}"
         df.write.mode("overwrite").parquet(path)
+        if self._keep:
+            for old in self._batches():
+                if old <= batch_id - self._keep:
+                    self._folder(f"{self._path}/batch={old}", delete=True)
         return self._read(path)
 
     def all(self) -> DataFrame:
@@ -41,8 +50,22 @@ class BatchTable:
 
     def latest(self) -> DataFrame:
         """What the last batch wrote, which may be no row at all."""
-        batches = [int(n) for f in self.all().inputFiles() for n in re.findall(r"/batch=(\d+)/", f)]
-        return self.before(max(batches, default=-1) + 1)
+        return self.before(max(self._batches(), default=-1) + 1)
+
+    def _batches(self) -> list[int]:
+        """Batch ids by the names of their folders."""
+        names = self._folder(self._path)
+        return [int(m.group(1)) for m in (re.fullmatch(r"batch=(\d+)", n) for n in names) if m]
+
+    def _folder(self, path: str, delete: bool = False) -> list[str]:
+        """Names in a folder of whatever store the path is in, which may not exist yet."""
+        jvm = self._spark._jvm
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        store = at.getFileSystem(self._spark._jsparkSession.sessionState().newHadoopConf())
+        if delete:
+            store.delete(at, True)
+            return []
+        return [f.getPath().getName() for f in store.listStatus(at)] if store.exists(at) else []
 
     def _read(self, path: str) -> DataFrame:
         return self._spark.read.schema(self._schema).parquet(path)
@@ -54,7 +77,7 @@ class OffsetCommits:
     SCHEMA = "partition int, committed bigint"
 
     def __init__(self, spark: SparkSession, path: str) -> None:
-        self.table = BatchTable(spark, path, self.SCHEMA)
+        self.table = BatchTable(spark, path, self.SCHEMA, keep=2)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         seen = batch.groupBy("partition").agg(F.max("sequence_number").alias("committed"))
@@ -82,13 +105,19 @@ class GapAlarms:
     ALARMS = "producer_id string, kind string, start_us bigint, end_us bigint, missing bigint"
 
     def __init__(self, spark: SparkSession, path: str, gap_s: float) -> None:
-        self.state = BatchTable(spark, f"{path}/state", self.STATE)
+        self.state = BatchTable(spark, f"{path}/state", self.STATE, keep=2)
         self.alarms = BatchTable(spark, f"{path}/alarms", self.ALARMS)
         self._gap_us = micros(gap_s)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         known = self.state.before(batch_id)
-        rows = batch.select("producer_id", "sequence_number", "ts_us").unionByName(known)
+        last = broadcast_if_small(known.select(F.col("producer_id").alias("_p"), F.col("sequence_number").alias("_last")))
+        new = batch.select("producer_id", "sequence_number", "ts_us").join(
+            last, F.col("producer_id").eqNullSafe(F.col("_p")), "left"
+        )
+        # what is numbered at or below the state is late or seen: it raises none and hides none
+        new = new.where(F.col("_last").isNull() | (F.col("sequence_number") > F.col("_last")))
+        rows = new.select("producer_id", "sequence_number", "ts_us").unionByName(known)
         scan = OrderedScan(rows, ["producer_id"], ["sequence_number", "ts_us"])
         steps = scan.lag(_seq="sequence_number", _us="ts_us").result()
         missing = F.col("sequence_number") - F.col("_seq") - 1
@@ -122,7 +151,7 @@ class RetryRouter:
 
     def __init__(self, spark: SparkSession, path: str, max_retries: int = MAX_RETRIES) -> None:
         self.outcomes = BatchTable(spark, f"{path}/outcomes", self.OUTCOMES)
-        self.carried = BatchTable(spark, f"{path}/carried", self.CARRIED)
+        self.carried = BatchTable(spark, f"{path}/carried", self.CARRIED, keep=2)
         self._max = max_retries
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -134,3 +163,9 @@ class RetryRouter:
         written = self.outcomes.write(routed.join(touched, "message_id", "left_semi"), batch_id)
         ended = written.where(F.col("status") != "pending").select("message_id")
         self.carried.write(rows.join(ended, "message_id", "left_anti"), batch_id)
+
+    def newest(self) -> DataFrame:
+        """The newest outcome of every message over all batches."""
+        last = F.max(F.struct("batch", "status", "failures")).alias("_last")
+        rows = self.outcomes.all().groupBy("message_id").agg(last)
+        return rows.select("message_id", "_last.status", "_last.failures")

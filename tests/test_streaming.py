@@ -117,3 +117,38 @@ def test_stream_and_batch_agree_on_closed_windows(spark, feed):
     stream = streams.run_to_table(streams.stream_tumbling(env, 5), "w")
     batch = tumbling(eventlog.replay_event_log(spark, path)[0], 5).where(F.col("end_us") <= 69_300_000)
     assert stream.count() == 13 and stream.exceptAll(batch.select(stream.columns)).count() == 0
+
+
+def test_a_late_event_raises_no_alarm(spark, feed):
+    alarms = GapAlarms(spark, shared_dir(spark, "alarms"), 1_000)
+
+    def numbered(*numbers):
+        return [{"timestamp": n, "sequence_number": n, "producer_id": "p"} for n in numbers]
+
+    feed(numbered(1, 2, 3, 4, 6, 7, 8, 9, 10))
+    path = feed(numbered(5))
+    feed(numbered(11, 12))
+    streams.run_batches(eventlog.read_event_stream(spark, path, 1), alarms, shared_dir(spark, "cp"))
+    found = [(r["kind"], r["start_us"], r["end_us"], r["missing"]) for r in alarms.alarms.all().collect()]
+    assert found == [("sequence_gap", 4 * 10**6, 6 * 10**6, 1)]
+    assert len(alarms.state._batches()) == 2  # older state is removed
+
+
+def test_newest_outcome_over_all_batches(spark):
+    router = RetryRouter(spark, shared_dir(spark, "retries"))
+    schema = "message_id string, attempt int, ok boolean"
+    router(spark.createDataFrame([("a", 1, False), ("b", 1, True)], schema), 0)
+    router(spark.createDataFrame([("a", 2, True), ("c", 1, False)], schema), 1)
+    newest = {r["message_id"]: (r["status"], r["failures"]) for r in router.newest().collect()}
+    assert newest == {"a": ("consumed", 1), "b": ("consumed", 0), "c": ("pending", 1)}
+
+
+def test_rejects_of_a_stream_are_counted(spark, tmp_path):
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    (folder / "a.jsonl").write_text('{"event_id": "x"}\nnot json\n\n[1]\n')
+    stream = eventlog.read_event_stream(spark, str(folder)).writeStream.format("noop")
+    query = stream.option("checkpointLocation", shared_dir(spark, "cp")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    seen = [p["observedMetrics"]["lines"] for p in query.recentProgress if p["observedMetrics"]]
+    assert (sum(s["read"] for s in seen), sum(s["rejected"] for s in seen)) == (3, 2)
