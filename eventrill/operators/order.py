@@ -11,9 +11,10 @@ per piece.
 How the cuts are found: one aggregate gives rows, minimum and maximum of each
 order column per group. A group above the target is cut at equal widths of its
 first varying order column. If a piece is still too big (bursts), it is counted
-again and cut further, on the next column once the first is constant in it. Only
-these cut descriptions reach the driver: at most ``MAX_GROUPS`` of them per
-round, and there can be no more than rows / target of them anyhow.
+again and cut further, on the next column once the first is constant in it, until
+no piece is too big or nothing is left to cut along. The cuts of a round are a
+table with one row per heavy group, written by Spark and joined back: broadcast
+if it is counted small, shuffled otherwise.
 
 The cuts steer only how the work is spread. Any cut gives the same result.
 """
@@ -24,12 +25,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from eventrill.session import broadcast_if_small, written
 
 ROWS_PER_PIECE = 1_000_000
-MAX_GROUPS = 50_000  # groups cut per round, and pieces of one keyless scan
-MAX_ROUNDS = 8
-PIECES_PER_GROUP = 4_096  # per round; a bigger group is cut again in the next one
+KEYLESS_PIECES = 50_000  # of a scan without keys: its carries meet in one task, a row per piece
+PIECES_PER_GROUP = 4_096  # per round; a bigger group, or a burst, is cut again in the next one
 
 
 class OrderedScan:
@@ -58,77 +59,65 @@ class OrderedScan:
     # -- cutting ---------------------------------------------------------------
 
     def _cut(self, rows_per_piece: int) -> None:
-        target = rows_per_piece
-        heavy = self._heavy_groups(self.df, self.keys, target)
-        for round_no in range(MAX_ROUNDS):
-            if not self.keys and round_no == 0 and heavy:
-                # one group: cut it so that every core has work, also when it is small
-                n = heavy[0]["_n"]
-                cores = self._spark.sparkContext.defaultParallelism
-                target = max(1, n // MAX_GROUPS, min(rows_per_piece, n // (4 * cores)))
-            # keeps the number of pieces, and so the carry table, within bounds
-            target = max(target, sum(row["_n"] for row in heavy) // (4 * MAX_GROUPS))
-            cuts = [c for c in (self._cut_of(row, target) for row in heavy) if c is not None]
-            if not cuts:
+        target, above, parts = F.lit(rows_per_piece), rows_per_piece, None
+        if not self.keys:
+            # one group: cut it so that every core has work, also when it is small
+            share = 4 * self._spark.sparkContext.defaultParallelism
+            least = F.least(F.lit(rows_per_piece), F.floor(F.col("_n") / share))
+            target, above = F.greatest(F.lit(1), F.ceil(F.col("_n") / KEYLESS_PIECES), least), 1
+        while True:
+            by = self.keys + self.pieces
+            rows = self.df.where(F.col(self.pieces[-1]).isNotNull()) if self.pieces else self.df
+            cuts = written(self._cuts(rows, by, above, target, parts), "cuts")
+            first = cuts.first()
+            if first is None:
                 return
-            group_cols = self.keys + self.pieces
-            piece = f"_piece{round_no}"
-            self.df = self._with_piece(self.df, group_cols, cuts, piece)
+            piece = f"_piece{len(self.pieces)}"
+            self.df = self._with_piece(self.df, by, cuts, first, piece)
             self.pieces.append(piece)
-            if sum(c["_n"] for c in cuts) <= rows_per_piece:
-                return
-            recount = self.df.where(F.col(piece).isNotNull())
-            heavy = self._heavy_groups(recount, group_cols + [piece], 4 * target)
-
-    def _heavy_groups(self, df: DataFrame, by: list[str], above: int) -> list:
-        bounds = [F.min(c).alias(f"_lo_{c}") for c in self.order]
-        bounds += [F.max(c).alias(f"_hi_{c}") for c in self.order]
-        groups = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *bounds)
-        if not by:
-            return [r for r in groups.collect() if r["_n"] > 1]
-        # Beyond the MAX_GROUPS largest, a group holds under rows / MAX_GROUPS rows:
-        # it stays whole and is still small.
-        return groups.where(F.col("_n") > above).orderBy(F.desc("_n")).limit(MAX_GROUPS).collect()
-
-    def _cut_of(self, row, target: int):
-        for axis, name in enumerate(self.order):
-            lo, hi = row[f"_lo_{name}"], row[f"_hi_{name}"]
-            if lo < hi:
-                parts = min(-(-row["_n"] // target), MAX_GROUPS if not self.keys else PIECES_PER_GROUP)
-                parts = max(parts, 2)
-                cut = row.asDict()
-                cut.update(_axis=axis, _from=float(lo), _width=(hi - lo) / parts, _parts=parts)
-                return cut
-        return None  # all order columns are constant: nothing left to cut along
-
-    def _with_piece(self, df: DataFrame, by: list[str], cuts: list, piece: str) -> DataFrame:
+            if not by:
+                if first["_n"] <= rows_per_piece:
+                    return
+                target = F.lit(first["_target"])
+                above = first["_target"]
+            # what is still too big is a burst: many narrow pieces, so that few rounds reach it
+            if parts is None:
+                above, parts = 4 * above, PIECES_PER_GROUP
+
+    def _cuts(self, rows: DataFrame, by: list[str], above: int, target: Column, parts: int | None) -> DataFrame:
+        """Per group of more than ``above`` rows, the axis to cut along, where it begins, and the width.
+
+        The smallest and the greatest row of a group come to lie in different pieces, so
+        every round makes the pieces smaller. A group constant in all order columns stays.
+        """
+        bounds = [f(c).alias(f"_{name}_{c}") for c in self.order for name, f in (("lo", F.min), ("hi", F.max))]
+        heavy = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *bounds).where(F.col("_n") > above)
+        axis, span = F.lit(None).cast("int"), F.lit(None).cast("double")
+        for i, c in reversed(list(enumerate(self.order))):
+            varies = F.col(f"_lo_{c}") < F.col(f"_hi_{c}")
+            axis = F.when(varies, i).otherwise(axis)
+            span = F.when(varies, (F.col(f"_hi_{c}") - F.col(f"_lo_{c}")).cast("double")).otherwise(span)
+        most = PIECES_PER_GROUP if self.keys else KEYLESS_PIECES
+        wanted = F.lit(parts) if parts else F.greatest(F.lit(2), F.least(F.ceil(F.col("_n") / target), F.lit(most)))
+        cut = heavy.withColumn("_axis", axis).withColumn("_parts", wanted.cast("int")).where(F.col("_axis").isNotNull())
+        return cut.select(
+            *[F.col(c).alias(f"_cut_{c}") for c in by], "_axis", *[f"_lo_{c}" for c in self.order],
+            (span / F.col("_parts")).alias("_width"), "_parts", "_n", target.cast("bigint").alias("_target"),
+        )
+
+    def _with_piece(self, df: DataFrame, by: list[str], cuts: DataFrame, first, piece: str) -> DataFrame:
         # Division and floor are monotone, so the piece number follows the order.
-        def number(axis: Column, start: Column, width: Column, parts: Column) -> Column:
-            value = F.lit(None).cast("double")
-            for i, name in reversed(list(enumerate(self.order))):
-                value = F.when(axis == i, F.col(name) - start).otherwise(value)
-            return F.least(parts - 1, F.floor(value / width)).cast("int")
-
-        if not by:
-            c = cuts[0]
-            value = F.col(self.order[c["_axis"]]) - F.lit(c["_from"])
-            steps = F.floor(value / F.lit(c["_width"]))
-            return df.withColumn(piece, F.least(F.lit(c["_parts"] - 1), steps).cast("int"))
-
-        types = {f.name: f.dataType for f in df.schema.fields}
-        schema = T.StructType([T.StructField(f"_cut_{c}", types[c]) for c in by])
-        for name, kind in (("_axis", T.IntegerType()), ("_from", T.DoubleType()), ("_width", T.DoubleType())):
-            schema.add(name, kind)
-        schema.add("_parts", T.IntegerType())
-        rows = [
-            tuple(c[k] for k in by) + (c["_axis"], c["_from"], c["_width"], c["_parts"]) for c in cuts
-        ]
-        table = F.broadcast(self._spark.createDataFrame(rows, schema))  # at most MAX_GROUPS rows
-        match = [F.col(c).eqNullSafe(F.col(f"_cut_{c}")) for c in by]
-        joined = df.join(table, match, "left")
-        cols = [F.col("_axis"), F.col("_from"), F.col("_width"), F.col("_parts")]
+        value = F.lit(None).cast("double")
+        for i, c in reversed(list(enumerate(self.order))):
+            value = F.when(F.col("_axis") == i, (F.col(c) - F.col(f"_lo_{c}")).cast("double")).otherwise(value)
+        number = F.least(F.col("_parts") - 1, F.floor(value / F.col("_width"))).cast("int")
+        if by:
+            match = [F.col(c).eqNullSafe(F.col(f"_cut_{c}")) for c in by]
+            joined = df.join(broadcast_if_small(cuts.drop("_n", "_target")), match, "left")
+        else:  # there is one group, and so one row
+            joined = df.withColumns({n: F.lit(first[n]).cast(cuts.schema[n].dataType) for n in cuts.columns})
         # rows of groups that are not cut keep a null piece
-        return joined.withColumn(piece, number(*cols)).select(*df.columns, piece)
+        return joined.withColumn(piece, number).select(*df.columns, piece)
 
     # -- window building blocks --------------------------------------------------
 
@@ -162,14 +151,14 @@ class OrderedScan:
         tops = rows.groupBy(*by).agg(F.max(self.order[0]).alias("_top"))
         tops = tops.select(*[F.col(c).alias(f"_e_{c}") for c in by], "_top")
         match = [F.col(c).eqNullSafe(F.col(f"_e_{c}")) for c in by] + [F.col(self.order[0]) == F.col("_top")]
-        return rows.join(F.broadcast(tops), match, "left_semi")  # one row per piece
+        return rows.join(broadcast_if_small(written(tops, "tops")), match, "left_semi")  # one row per piece
 
     def _join_carry(self, df: DataFrame, carry: DataFrame, name: str) -> DataFrame:
         by = self.keys + self.pieces
         right = carry.select(*[F.col(c).alias(f"_c_{c}") for c in by], name)
         match = [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in by]
-        # one row per piece of a cut group: bounded by the cuts made above
-        return df.join(F.broadcast(right), match, "left").select(*df.columns, name)
+        # one row per piece of a cut group
+        return df.join(broadcast_if_small(written(right, "carry")), match, "left").select(*df.columns, name)
 
     # -- operators ------------------------------------------------------------------
 

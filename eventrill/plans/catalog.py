@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from eventrill.functions import payloads, rates
 from eventrill.operators import aggregates, anomalies, consumer, lifecycle, load, topiclog, windows
+from eventrill.operators.order import OrderedScan
 from eventrill.plans.analysis import analysis_report, load_run_report
 from eventrill.plans.oracle_views import env_sql, hash_sql, life_log_sql, life_sql, log_sql
 from eventrill.session import shared_dir, written
@@ -1241,3 +1242,56 @@ def _(spark, d):
     router = RetryRouter(spark, shared_dir(spark, "retries"))
     streams.run_batches(tables.attempt_stream(spark, d), router, shared_dir(spark, "retries-checkpoint"))
     return router.newest()
+
+
+# -- keyed scans with heavy groups cut into pieces, as they are from a million rows on ---------------
+
+PIECE = {"rows_per_piece": 500}
+
+
+@query("sessions_by_user_in_pieces", ORACLES["sessions_by_user"])
+def _(spark, d):
+    return windows.sessions(env(spark, d), 6 * HOUR, ["partition_key"], rows_per_piece=20)
+
+
+@query("sequence_gaps_in_pieces", ORACLES["sequence_gaps"])
+def _(spark, d):
+    found = anomalies.sequence_gaps(env(spark, d), **PIECE)
+    details = [F.col("details")[k].alias(k) for k in ("from_seq", "to_seq")]
+    return found.select("kind", "severity", "start_us", "end_us", "description", *details)
+
+
+@query("append_log_in_pieces", ORACLES["append_log"])
+def _(spark, d):
+    log = topiclog.append_log(tables.records(spark, d), tables.topics(spark, d), **PIECE)
+    return log.select("topic", "partition", "offset", "key", "value", "record_id", "acks", "size_bytes")
+
+
+@query("retention_in_pieces", ORACLES["retention"])
+def _(spark, d):
+    kept = topiclog.apply_retention(_stored_log(spark, d), 20_000, **PIECE)
+    return kept.select("topic", "partition", "offset", "size_bytes")
+
+
+@query("latency_summary_by_type_in_pieces", ORACLES["latency_summary_by_type"])
+def _(spark, d):
+    return _rounded(load.latency_summary(consumer.with_latency(env(spark, d)), "latency_ms", ["event_type"], **PIECE))
+
+
+# -- topics created and removed, order of time ------------------------------------------------------
+
+@query("time_order", env_sql("SELECT event_id, ts_us, row_number() OVER (ORDER BY ts_us, ordinal) AS place FROM base"))
+def _(spark, d):
+    # a total order asks for ranks; sorting alone has no result that could be compared
+    rows = OrderedScan(tables.enveloped(spark, d).select("event_id", "ts_us", "ordinal"), [], ["ts_us", "ordinal"])
+    return rows.rank("place").result().select("event_id", "ts_us", "place")
+
+
+@query(
+    "topic_table",
+    log_sql("SELECT topic || '-new' AS topic, num_partitions FROM topics UNION ALL SELECT * FROM topics WHERE topic <> 'error'"),
+)
+def _(spark, d):
+    known = tables.topics(spark, d)
+    new = known.withColumn("topic", F.concat("topic", F.lit("-new")))
+    return topiclog.drop_topics(topiclog.create_topics(known, new), known.where(F.col("topic") == "error").select("topic"))
