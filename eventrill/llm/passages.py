@@ -12,11 +12,15 @@ mostly share their anchor. That gives three jobs:
    an operator's own index decides which windows an earlier document has;
 3. gather the decided runs per document.
 
-An anchor in more than ``hot_docs`` documents is not brought together: its windows are
-aggregated one by one (smallest document of each, with a map-side part), and joined back.
+Copies are settled where they are read: a segment that the same task has already met in a
+document with a smaller id is decided there and then, and only its place is sent on, as one
+run with its neighbours. So a passage of a million documents is sent about once per task.
+An anchor in more than ``hot_docs`` documents, a frequent phrase in ever new surroundings,
+is not brought together at all: its windows are sent one by one, each to where only equal
+windows meet.
 
 Repeated anchors go to the tasks as a sorted array if there are at most ``small_anchors`` of
-them (8 bytes each); otherwise they are joined to the documents by id.
+them (8 bytes each); otherwise they are joined to the documents by a hash of the text.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +39,7 @@ from eventrill.llm.common import in_arrow, is_small, shared_table
 SMALL_ANCHORS = 8_000_000
 HOT_DOCS = 10_000
 BLOCK_UNITS = 1_500_000
+SEEN_SEGMENTS = 400_000  # that a task remembers; forgetting some only sends more on
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)  # any odd number does
 _ODD2 = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -162,27 +168,66 @@ SEGMENTS = f"anchor bigint, {KEY}, start bigint, windows int, payload binary"
 Payloads = Callable[[np.ndarray, np.ndarray, np.ndarray, int], list[bytes]]
 
 
-def _candidates(docs: DataFrame, codes, payloads: Payloads, n: int, gram: int, wanted: np.ndarray | None) -> DataFrame:
-    """Segments led by a wanted anchor; the wanted ones of a text come as its column if not as an array."""
+def _member(values: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Which values occur in a sorted array."""
+    if len(of) == 0:
+        return np.zeros(len(values), bool)
+    return of[np.minimum(np.searchsorted(of, values), len(of) - 1)] == values
+
+
+def _candidates(docs: DataFrame, codes, payloads: Payloads, n: int, gram: int, wanted, hot) -> DataFrame:
+    """Segments led by wanted anchors; the windows of hot ones one by one.
+
+    The anchors are sorted arrays, or, if None, columns 3 and 4 of the documents.
+    Rows without a payload are runs that are already decided.
+    """
 
     def work(batches):
-        to_codes = codes()
+        to_codes, seen = codes(), {}
         for batch in batches:
             cut, row = segments(_ids(batch.column(0)), _ids(batch.column(1)), to_codes(batch.column(2).to_pylist()), n, gram)
             if cut is None:
                 continue
-            here = wanted if wanted is not None else np.unique(batch.column(3).flatten().to_numpy(zero_copy_only=False))
+            if wanted is None:
+                usual_here, hot_here = (
+                    np.unique(batch.column(i).flatten().to_numpy(zero_copy_only=False)) for i in (3, 4)
+                )
+            else:
+                usual_here, hot_here = wanted, hot
             lead = cut.leads[cut.first]
-            place = np.minimum(np.searchsorted(here, lead), max(0, len(here) - 1))
-            hit = here[place] == lead if len(here) else np.zeros(len(lead), bool)
-            if not hit.any():
+            single = _member(lead, hot_here)
+            some = np.nonzero(_member(lead, usual_here) | single)[0]
+            if len(some) == 0:
                 continue
-            first, last, owner = cut.first[hit], cut.last[hit], cut.owner[hit]
+            first, last, owner, lead, single = cut.first[some], cut.last[some], cut.owner[some], lead[some], single[some]
+            if single.any():  # one segment per window of a hot anchor, sent by the hash of the whole window
+                sizes = np.where(single, last - first, 1)
+                offset = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                first, owner, single = np.repeat(first, sizes) + offset, np.repeat(owner, sizes), np.repeat(single, sizes)
+                last = np.where(single, first + 1, np.repeat(last, sizes))
+                whole = mix(gram_hashes(row, n)).view(np.int64)
+                lead = np.where(single, whole[first], np.repeat(lead, sizes))
+            ids, start = cut.ids[owner], first - cut.begins[owner]
+            content = payloads(first, last, row, n)
+            if len(seen) > SEEN_SEGMENTS:
+                seen.clear()
+            decided = np.zeros(len(content), bool)
+            for i, key in enumerate(zip(lead.tolist(), content, ids.tolist())):
+                doc_id, key = key[2], key[:2]
+                least = seen.get(key)
+                if least is None or doc_id < least:
+                    seen[key] = doc_id
+                elif least < doc_id:
+                    decided[i] = True
+            # decided segments that follow each other in a text are one run
+            follows = np.r_[False, (owner[1:] == owner[:-1]) & (first[1:] == last[:-1]) & decided[1:] & decided[:-1]]
+            begin = np.nonzero(~follows)[0]
+            end = np.r_[begin[1:] - 1, len(first) - 1]
+            kept = [None if decided[i] else content[i] for i in begin.tolist()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(lead[hit]), pa.array(cut.ids[owner]), pa.array(cut.hashes[owner]),
-                    pa.array(first - cut.begins[owner]), pa.array((last - first).astype(np.int32)),
-                    pa.array(payloads(first, last, row, n), pa.binary()),
+                    pa.array(lead[begin]), pa.array(ids[begin]), pa.array(cut.hashes[owner[begin]]), pa.array(start[begin]),
+                    pa.array((last[end] - first[begin]).astype(np.int32)), pa.array(kept, pa.binary()),
                 ],
                 ["anchor", "doc_id", "text_hash", "start", "windows", "payload"],
             )
@@ -228,6 +273,11 @@ def _decide(batches, first_ids: Deciders, n: int, block_units: int):
             yield masked_runs(ids, hashes, starts, windows, gone, n)
 
     for batch in batches:
+        settled = batch.filter(batch.column(5).is_null())
+        if settled.num_rows:
+            end = pc.add(settled.column(3), pc.add(pc.cast(settled.column(4), pa.int64()), n - 1))
+            yield pa.RecordBatch.from_arrays([*settled.columns[1:4], end], ["doc_id", "text_hash", "start", "end"])
+        batch = batch.filter(batch.column(5).is_valid())
         if not batch.num_rows:
             continue
         anchor = batch.column(0).to_numpy()
@@ -247,36 +297,11 @@ def _decide(batches, first_ids: Deciders, n: int, block_units: int):
         yield from flush(held)
 
 
-WINDOWS = f"k1 bigint, k2 bigint, {KEY}, start bigint"
-
-
-def _hot_runs(hot: DataFrame, window_keys, n: int) -> DataFrame:
-    """Runs of single windows of hot anchors, by aggregates alone."""
-
-    def work(batches):
-        for batch in batches:
-            ids, hashes, starts = (batch.column(i).to_numpy() for i in (1, 2, 3))
-            windows = batch.column(4).to_numpy().astype(np.int64)
-            k1, k2 = window_keys(windows, batch.column(5).to_pylist(), batch.column(0).to_numpy(), n)
-            offset = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-            columns = [k1, k2, np.repeat(ids, windows), np.repeat(hashes, windows), np.repeat(starts, windows) + offset]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c.view(np.int64)) for c in columns], ["k1", "k2", "doc_id", "text_hash", "start"]
-            )
-
-    windows = in_arrow(hot, work, WINDOWS)
-    firsts = windows.groupBy("k1", "k2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    firsts = firsts.where(F.col("first") < F.col("last")).select("k1", "k2", "first")
-    gone = windows.join(firsts, ["k1", "k2"]).where(F.col("first") < F.col("doc_id"))
-    return gone.select("doc_id", "text_hash", "start", (F.col("start") + n).alias("end"))
-
-
 def repeated_runs(
     docs: DataFrame,
     codes: Callable[[], Codes],
     payloads: Payloads,
     first_ids: Deciders,
-    window_keys,
     n: int,
     gram: int,
     purpose: str,
@@ -287,24 +312,18 @@ def repeated_runs(
     """``doc_id, text_hash, start, end``: runs of units covered by windows that an earlier document has."""
     rows = keyed(docs)
     counts = shared_table(_anchor_counts(rows, codes, n, gram), purpose)
+    usual, hot = (counts.where(c).select("anchor") for c in (F.col("n") <= hot_docs, F.col("n") > hot_docs))
     if is_small(counts, small_anchors):
-        wanted = np.sort(counts.select("anchor").toArrow().column(0).to_numpy())
-        found = _candidates(rows, codes, payloads, n, gram, wanted)
+        arrays = (np.sort(part.toArrow().column(0).to_numpy()) for part in (usual, hot))
+        found = _candidates(rows, codes, payloads, n, gram, *arrays)
     else:
-        held = _anchors_of(rows, codes, n, gram).join(counts.select("anchor"), "anchor", "left_semi")
-        by_text = held.groupBy("text_hash").agg(F.collect_set("anchor").alias("anchors"))
-        found = _candidates(rows.join(by_text, "text_hash").select("doc_id", "text_hash", "text", "anchors"),
-                            codes, payloads, n, gram, None)
-    hot = counts.where(F.col("n") > hot_docs).select("anchor")  # few: each is in many documents
-    some_hot = not hot.isEmpty()
-    if some_hot:
-        found = shared_table(found, purpose)
-    usual = found.join(hot, "anchor", "left_anti") if some_hot else found
-    placed = usual.repartition("anchor").sortWithinPartitions("anchor", "doc_id")
-    runs = in_arrow(placed, lambda batches: _decide(batches, first_ids, n, block_units), RUNS)
-    if some_hot:
-        runs = runs.unionByName(_hot_runs(found.join(hot, "anchor", "left_semi"), window_keys, n))
-    return shared_table(runs, purpose)
+        held = _anchors_of(rows, codes, n, gram).join(counts, "anchor")
+        sides = [F.when(F.col("n") <= hot_docs, F.col("anchor")), F.when(F.col("n") > hot_docs, F.col("anchor"))]
+        by_text = held.groupBy("text_hash").agg(*(F.collect_set(c).alias(name) for c, name in zip(sides, ("usual", "hot"))))
+        joined = rows.join(by_text, "text_hash").select("doc_id", "text_hash", "text", "usual", "hot")
+        found = _candidates(joined, codes, payloads, n, gram, None, None)
+    placed = found.repartition("anchor").sortWithinPartitions("anchor", "doc_id")
+    return shared_table(in_arrow(placed, lambda batches: _decide(batches, first_ids, n, block_units), RUNS), purpose)
 
 
 def with_spans(docs: DataFrame, runs: DataFrame) -> DataFrame:

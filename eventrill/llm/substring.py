@@ -44,13 +44,9 @@ def _payloads(first, last, row, n) -> list[bytes]:
     return [windows[a:b].tobytes() for a, b in zip(first.tolist(), last.tolist())]
 
 
-def _window_keys(windows, payloads, anchors, n):
-    return np.repeat(anchors, windows), np.frombuffer(b"".join(payloads), np.int64)
-
-
 def _first_ids(anchors, ids, windows, payloads) -> np.ndarray:
     """Smallest document of every window: equal windows have equal anchors and hashes."""
-    k1, k2 = _window_keys(windows, payloads, anchors, 0)
+    k1, k2 = np.repeat(anchors, windows), np.frombuffer(b"".join(payloads), np.int64)
     order = np.lexsort((k2, k1))
     a, b = k1[order], k2[order]
     starts = np.nonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[0]
@@ -63,7 +59,7 @@ def _first_ids(anchors, ids, windows, payloads) -> np.ndarray:
 def repeated_words(docs: DataFrame, n: int = WORDS, **limits) -> DataFrame:
     """``doc_id, text, spans``: word runs that an earlier document has, in windows of ``n`` words."""
     runs = repeated_runs(
-        docs, _word_codes, _payloads, _first_ids, _window_keys, n, -(-n // 2), "substring", **limits
+        docs, _word_codes, _payloads, _first_ids, n, -(-n // 2), "substring", **limits
     )
     return with_spans(docs, runs)
 

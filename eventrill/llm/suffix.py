@@ -27,14 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventrill.llm.common import in_arrow
-from eventrill.llm.passages import gram_hashes, merged, mix, repeated_runs, with_spans
+from eventrill.llm.passages import merged, mix, repeated_runs, with_spans
 
 LENGTH = 50
 GRAM = 16
 SEPARATOR = 0xFF  # occurs in no UTF-8 text
 
 _CODES = mix(np.random.default_rng(3).integers(1, 2**63, 256, dtype=np.uint64))
-_KEY_BASE = np.uint64(0xD6E8FEB86659FD93)  # any odd number does
 
 
 def _byte_codes():
@@ -50,15 +49,6 @@ def _payloads(first, last, row, n) -> list[bytes]:
     return [raw[a : b + n - 1] for a, b in zip(first.tolist(), last.tolist())]
 
 
-def _window_keys(windows, payloads, anchors, n):
-    """128 bits of each window's bytes."""
-    text = _CODES[np.frombuffer(b"".join(payloads), np.uint8)]
-    sizes = np.array([len(p) for p in payloads], np.int64)
-    begins = np.cumsum(sizes) - sizes
-    at = np.repeat(begins - (np.cumsum(windows) - windows), windows) + np.arange(windows.sum())
-    return mix(gram_hashes(text, n))[at], mix(gram_hashes(text, n, _KEY_BASE))[at]
-
-
 def _ranks(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
     """Order of the keys, dense ranks, and whether all are different."""
     order = np.argsort(keys)
@@ -165,7 +155,7 @@ def _first_ids(anchors, ids, windows, payloads, n=LENGTH) -> np.ndarray:
 def repeated_bytes(docs: DataFrame, n: int = LENGTH, gram: int = GRAM, **limits) -> DataFrame:
     """``doc_id, text, spans``: byte runs that an earlier document has, in strings of ``n`` bytes."""
     decide = lambda a, i, w, p: _first_ids(a, i, w, p, n)
-    runs = repeated_runs(docs, _byte_codes, _payloads, decide, _window_keys, n, gram, "suffix", **limits)
+    runs = repeated_runs(docs, _byte_codes, _payloads, decide, n, gram, "suffix", **limits)
     return with_spans(docs, runs)
 
 
