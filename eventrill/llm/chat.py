@@ -2,8 +2,9 @@
 
 Messages point to the message they answer. Pointer doubling by self-joins gives every
 message its depth and the summed score of its path from the root in as many joins as the
-depth has binary digits; leaves are ranked by that score, and only the chosen leaves' paths
-are enumerated, again by doubling. Each chosen path becomes one formatted conversation with
+depth has binary digits; a conversation whose paths are all known takes no part in further
+joins. Leaves are ranked by that score, and only the chosen leaves' paths are enumerated,
+again by doubling. Each chosen path becomes one formatted conversation with
 a mask of what to learn from.
 
 Template: ``<|im_start|>`` role newline text ``<|im_end|>`` newline, per turn. In roles and
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventrill.llm.common import shared_table
+from eventrill.session import broadcast_if_small, written
 
 # The marks of the template, and what stands for signs that could begin a mark.
 START, END = "<|im_start|>", "<|im_end|>\n"
@@ -82,27 +84,34 @@ def paths(messages: DataFrame, branches: int = 1) -> DataFrame:
         "n.conv_id", "n.msg_id", F.col("p.msg_id").alias("up"), F.lit(1).cast("bigint").alias("depth"),
         F.col("n.score").alias("total"),
     )
-    jumps = [shared_table(step, "chat")]
-    while not jumps[-1].where(F.col("up").isNotNull()).isEmpty():
-        last = jumps[-1]
-        ahead = last.select("conv_id", "msg_id", F.col("up").alias("far"), "depth", "total")
-        joined = last.alias("n").join(ahead.alias("a"), _same("n", "a", "up", "msg_id"), "left").select(
+    state, jumps, known_paths = shared_table(step, "chat"), [], []
+    while not (waiting := state.where(F.col("up").isNotNull())).isEmpty():
+        # conversations without a longer path have been read to the end
+        live = broadcast_if_small(written(waiting.select("conv_id").distinct(), "chat"))
+        in_live = F.col("s.conv_id").eqNullSafe(F.col("l.conv_id"))
+        known_paths.append(state.alias("s").join(live.alias("l"), in_live, "left_anti"))
+        jumps.append(shared_table(state.alias("s").join(live.alias("l"), in_live, "left_semi"), "chat"))
+        # after k rounds a path without a cycle is known if it has up to 2^k messages
+        if _all_on_cycles(jumps[-1], len(jumps)):
+            state = jumps[-1]
+            break
+        ahead = jumps[-1].select("conv_id", "msg_id", F.col("up").alias("far"), "depth", "total")
+        joined = jumps[-1].alias("n").join(ahead.alias("a"), _same("n", "a", "up", "msg_id"), "left").select(
             "n.conv_id", "n.msg_id", F.col("a.far").alias("up"),
             (F.col("n.depth") + F.coalesce("a.depth", F.lit(0))).alias("depth"),
             (F.col("n.total") + F.coalesce("a.total", F.lit(0.0))).alias("total"),
         )
-        jumps.append(shared_table(joined, "chat"))
-        # after k rounds a path without a cycle is known if it has up to 2^k messages
-        if len(jumps) > 64 or _all_on_cycles(jumps[-1], len(jumps)):
-            break
-    whole = jumps[-1].where(F.col("up").isNull())
+        state = shared_table(joined, "chat")
+    whole = state.where(F.col("up").isNull())
+    for known in known_paths:
+        whole = whole.unionByName(known)
     inner = messages.select("conv_id", F.col("parent_id").alias("msg_id")).where("msg_id IS NOT NULL")
     leaves = whole.alias("n").join(inner.alias("i"), _same("n", "i", "msg_id", "msg_id"), "left_anti")
     best = Window.partitionBy("conv_id").orderBy(F.desc("total"), F.desc("depth"), "msg_id")
     chosen = leaves.withColumn("branch", F.row_number().over(best)).where(F.col("branch") <= branches)
     # every ancestor is reached by exactly one sum of powers of two: largest jumps first
     reached = chosen.select("conv_id", "branch", F.col("depth").alias("at"), "msg_id")
-    for k in reversed(range(len(jumps) - 1)):
+    for k in reversed(range(len(jumps))):
         jump = jumps[k].where(F.col("up").isNotNull())
         further = reached.alias("r").join(jump.alias("j"), _same("r", "j", "msg_id", "msg_id")).select(
             "r.conv_id", "r.branch", (F.col("r.at") - 2**k).alias("at"), F.col("j.up").alias("msg_id")
@@ -113,10 +122,7 @@ def paths(messages: DataFrame, branches: int = 1) -> DataFrame:
 
 def _all_on_cycles(jump: DataFrame, rounds: int) -> bool:
     """Whether every message that still has a far ancestor is on a cycle or below one."""
-    if rounds < 8:
-        return False
-    waiting = jump.where(F.col("up").isNotNull())
-    return waiting.count() > 0 and 2 ** (rounds - 1) > jump.count()
+    return rounds >= 8 and 2 ** (rounds - 1) > jump.count()
 
 
 def formatted(messages: DataFrame, branches: int = 1, learned: tuple[str, ...] = LEARNED_ROLES) -> DataFrame:
