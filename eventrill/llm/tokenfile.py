@@ -61,15 +61,18 @@ def compress(ids: np.ndarray, rounds: int = ROUNDS, pairs: int = PAIRS_PER_ROUND
         if len(often) > pairs:
             often = often[np.lexsort((ordered[starts[often]], -counts[often]))[:pairs]]
         chosen = np.sort(ordered[starts[often]])
-        # only where both sides occur in a chosen pair is the pair itself looked up
-        left, right = np.zeros(top, bool), np.zeros(top, bool)
-        left[(chosen >> np.uint64(32)).astype(np.int64)] = True
-        right[(chosen & np.uint64(0xFFFFFFFF)).astype(np.int64)] = True
+        # a table of the chosen pairs by the places of their sides: at most ``pairs`` squared small numbers
+        a, b = (chosen >> np.uint64(32)).astype(np.int64), (chosen & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        lefts, rights = np.unique(a), np.unique(b)
+        left, right = np.full(top, -1, np.int32), np.full(top, -1, np.int32)
+        left[lefts], right[rights] = np.arange(len(lefts)), np.arange(len(rights))
+        pair_rule = np.full(len(lefts) * len(rights), -1, np.int32)
+        pair_rule[left[a].astype(np.int64) * len(rights) + right[b]] = np.arange(len(chosen))
         symbols = row.astype(np.int64)
-        at = np.nonzero(left[symbols[:-1]] & right[symbols[1:]])[0]
-        rule = np.minimum(np.searchsorted(chosen, codes[at]), len(chosen) - 1)
-        hit = chosen[rule] == codes[at]
-        at, rule = at[hit], rule[hit]
+        first, second = left[symbols[:-1]], right[symbols[1:]]
+        at = np.nonzero((first >= 0) & (second >= 0))[0]
+        rule = pair_rule[first[at].astype(np.int64) * len(rights) + second[at]]
+        at, rule = at[rule >= 0], rule[rule >= 0]
         # of pairs that overlap, every second one, from the left
         begin = np.r_[True, np.diff(at) != 1]
         run = np.maximum.accumulate(np.where(begin, np.arange(len(at)), 0))

@@ -11,6 +11,7 @@ import functools
 import os
 import re
 import unicodedata
+from collections.abc import Callable
 
 import numpy as np
 
@@ -18,6 +19,8 @@ CACHED_PIECES = 500_000
 
 # besides white space that does not stand alone: the sign that parts pieces here, and odd white space
 _UNSURE = re.compile(r"\s\s|\s\Z|\A\s|[\0\x1c-\x1f\x85\xa0]")
+_ODD_SPACE = re.compile(r"[^\S \n]|\0")  # a text without any needs no closer look than for these pairs
+_SPACE_PAIRS = ("  ", " \n", "\n ", "\n\n")
 
 # How the two tokenizers cut a text into words, for signs up to U+00FF (letters, numbers, others),
 # and the byte-level alphabet: printable bytes stand for themselves, the others are numbered from U+0100 on.
@@ -30,6 +33,24 @@ _PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _AS_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(_PLAIN))}
 
 
+def _unsure(text: str) -> bool:
+    if _ODD_SPACE.search(text):
+        return _UNSURE.search(text) is not None
+    return text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or any(pair in text for pair in _SPACE_PAIRS)
+
+
+class _Remembered(dict):
+    """Values by key, made where they are first asked for."""
+
+    def __init__(self, make: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self._make = make
+
+    def __missing__(self, key: str) -> bytes:
+        value = self[key] = self._make(key)
+        return value
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
@@ -46,7 +67,7 @@ class Encoder:
         self._spaced = spaced
         self._words: dict[str, bytes] = {}
         # two generations: what was not asked for while one filled up is forgotten
-        self._recent: dict[str, bytes] = {}
+        self._recent = _Remembered(self._again_or_new)
         self._older: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -73,31 +94,22 @@ class Encoder:
 
     def pieces(self, text: str) -> list[str]:
         """Pieces whose ids, put together, are the text's ids."""
-        if _UNSURE.search(text):
+        if _unsure(text):
             return [text]
         if self._spaced:
             # one white space between words belongs to the word after it
             return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
         return text.replace("\n", " ").split(" ")
 
+    def _again_or_new(self, piece: str) -> bytes:
+        ids = self._older.get(piece)
+        return self._piece(piece) if ids is None else ids
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut = [self.pieces(t or "") for t in texts]
-        asked = set()
-        for pieces in cut:
-            if len(pieces) > 1:
-                asked.update(pieces)
         if len(self._recent) > CACHED_PIECES:
-            self._older, self._recent = self._recent, {}
-        recent, older = self._recent, self._older
-        missing = []
-        for piece in asked.difference(recent):
-            if (ids := older.get(piece)) is not None:
-                recent[piece] = ids
-            else:
-                missing.append(piece)
-        for piece in missing:
-            recent[piece] = self._piece(piece)
-        get = recent.__getitem__
+            self._older, self._recent = self._recent, _Remembered(self._again_or_new)
+        get = self._recent.__getitem__
+        cut = (self.pieces(t or "") for t in texts)
         return [b"".join(map(get, p)) if len(p) > 1 else self._whole(p)[0] for p in cut]
 
 
