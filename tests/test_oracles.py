@@ -20,7 +20,7 @@ def duck():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", [n for n in entry.queries() if n in entry.oracle_sql()])
 def test_same_rows_as_the_sql(spark, duck, name):
     assert compare(entry.queries()[name](spark, SF), duck, entry.oracle_sql()[name]) == ""
 
