@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventrill.llm import chat, decontam, exact, langid, packing, quality, simhash, substring, suffix, tokenfile
+from eventrill.llm import (
+    bestfit, chat, decontam, exact, hardneg, langid, packing, periods, quality, simhash, substring, suffix, tokenfile,
+)
 from eventrill.llm.common import table
 
 KEEP_SCORE = 0.3
@@ -121,6 +125,65 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op11_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.best_fit_packed(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def looped_words(doc_id: int | None, text: str | None) -> list[bytes]:
+    """The words of a text; in every tenth document (by a hash of its id) they go in a circle from some word on."""
+    words = periods.split_words(doc_id, text)
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    circle = words[a : a + 1 + (n - a) // (3 + g % 8)]
+    return words[:a] + (circle * ((n - a) // len(circle) + 1))[: n - a]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.periodic_runs(table(spark, sf_dir, "documents"), looped_words)
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.transform("runs", lambda r: F.concat(line(r), F.lit("\n")))
+    length, period = F.col("greatest.length"), F.col("greatest.period")
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.col("greatest.start").alias("start"),
+        length.alias("length"), period.alias("period"),
+        F.expr("greatest.length * 1000 div greatest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hardneg.scaled(table(spark, sf_dir, "embeddings"), label)
+    return hardneg.mined(rows, F.col("vec_id") % 100 == 0)
+
+
+OP13_SQL = """
+WITH sound AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS vec
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_dot_product(a.vec, b.vec) AS BIGINT) AS score
+  FROM sound a JOIN sound b ON a.vec_id <> b.vec_id
+  WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank,
+       s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+QUALIFY rank <= 5
+"""
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_exact_dedup": op2_exact_dedup,
@@ -132,5 +195,8 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,
+    "op11_bestfit_packing": op11_bestfit_packing,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_hard_negatives": op13_hard_negatives,
 }
-ORACLES = {"op2_exact_dedup": OP2_SQL, "op3_chat_format": OP3_SQL}
+ORACLES = {"op2_exact_dedup": OP2_SQL, "op3_chat_format": OP3_SQL, "op13_hard_negatives": OP13_SQL}
