@@ -11,13 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventrill.functions.times import floor_to, micros
+from eventrill.functions.times import floor_div, floor_to, micros
 from eventrill.operators.order import OrderedScan
 from eventrill.operators.windows import tumbling
 from eventrill.session import broadcast_if_small, written
 
 MAX_RETRIES = 3
 HISTORY = 30
+RUN_PIECE = 10_000  # intervals that a value is carried over at once
 COLUMNS = ["ts_us", "kind", "message_id", "producer_id", "consumer_id", "topic", "partition", "attempt"]
 
 
@@ -36,6 +37,12 @@ def _reached(attempts: DataFrame, max_retries: int, crashed: DataFrame | None) -
     return rows
 
 
+def outcome_of(max_retries: int) -> tuple[Column, Column]:
+    """``status`` and ``failures`` of a message by ``_ok``, its first success, and ``_failed`` attempts."""
+    status = F.when(F.col("_ok").isNotNull(), "consumed").when(F.col("_failed") >= max_retries, "dlq")
+    return status.otherwise("pending"), F.coalesce(F.col("_ok") - 1, F.col("_failed")).cast("bigint")
+
+
 def route_retries(
     attempts: DataFrame, max_retries: int = MAX_RETRIES, crashed: DataFrame | None = None
 ) -> DataFrame:
@@ -48,11 +55,10 @@ def route_retries(
         F.min(F.when(F.col("ok"), F.col("attempt"))).alias("_ok"),
         F.count_if(~F.col("ok")).alias("_failed"),
     )
-    failures = F.coalesce(F.col("_ok") - 1, F.col("_failed")).cast("bigint")
-    status = F.when(F.col("_ok").isNotNull(), "consumed").when(F.col("_failed") >= max_retries, "dlq")
+    status, failures = outcome_of(max_retries)
     return per_message.select(
         "message_id",
-        status.otherwise("pending").alias("status"),
+        status.alias("status"),
         failures.alias("failures"),
         (failures + F.col("_ok").isNotNull().cast("bigint")).alias("attempts"),
     )
@@ -122,14 +128,14 @@ def consumer_offsets_series(rolled: DataFrame, **scan_args) -> DataFrame:
     return scan.running_sum("consumer_offset", "count").result().drop("count")
 
 
-def _queue_delta() -> Column:
+def queue_delta() -> Column:
     # a message leaves the queue at its first attempt, whatever the outcome
     kind = F.col("kind")
     left = kind.isin("consumed", "retry") & F.col("first")
     return F.when(kind == "produced", F.col("n")).when(left, -F.col("n")).otherwise(0)
 
 
-def _retry_delta() -> Column:
+def retry_delta() -> Column:
     kind, first = F.col("kind"), F.col("first")
     left = ((kind == "consumed") & ~first) | (kind == "dlq")
     return F.when((kind == "retry") & first, F.col("n")).when(left, -F.col("n")).otherwise(0)
@@ -139,8 +145,8 @@ def depth_series(rolled: DataFrame, every_s: float = 1.0, **scan_args) -> DataFr
     """Queue, retry and dead-letter depth at the end of every interval."""
     size = micros(every_s)
     deltas = rolled.groupBy("start_us").agg(
-        F.sum(_queue_delta()).alias("queue_depth"),
-        F.sum(_retry_delta()).alias("retry_depth"),
+        F.sum(queue_delta()).alias("queue_depth"),
+        F.sum(retry_delta()).alias("retry_depth"),
         F.sum(F.when(F.col("kind") == "dlq", F.col("n")).otherwise(0)).alias("dlq_depth"),
     )
     depths = ["queue_depth", "retry_depth", "dlq_depth"]
@@ -156,7 +162,7 @@ def depth_series(rolled: DataFrame, every_s: float = 1.0, **scan_args) -> DataFr
 def consumer_lag_series(rolled: DataFrame, assignments: DataFrame, **scan_args) -> DataFrame:
     """Messages waiting in each consumer's partitions, at each interval in which any came or went."""
     owned = assignments.select("topic", "partition", F.col("member_id").alias("_owner"))
-    moved = rolled.withColumn("_delta", _queue_delta()).where(F.col("_delta") != 0)
+    moved = rolled.withColumn("_delta", queue_delta()).where(F.col("_delta") != 0)
     # summed per partition before the join: the join then sees intervals, not messages
     per_partition = moved.groupBy("start_us", "topic", "partition").agg(F.sum("_delta").alias("_delta"))
     per_owner = per_partition.join(owned, ["topic", "partition"]).groupBy(
@@ -167,12 +173,48 @@ def consumer_lag_series(rolled: DataFrame, assignments: DataFrame, **scan_args)
     return scan.running_sum("lag", "_delta").result().drop("_delta")
 
 
+def carried_forward(
+    changes: DataFrame, keys: DataFrame, value: str, span_us: tuple[int, int], every_s: float = 1.0, **scan_args
+) -> DataFrame:
+    """``value`` of every key at every interval, the last change carried forward; 0 before the first one.
+
+    ``changes`` has the key's columns, ``start_us`` and ``value``, at most a row per key and interval;
+    ``keys`` are all keys; ``span_us`` is the first and the last interval's start. A row finds
+    the next one of its key and is copied into the intervals up to there, in pieces, so
+    that neither a key's dense series nor a long silence is in one place at a time.
+    """
+    size, by = micros(every_s), keys.columns
+    first, last = span_us
+    before = keys.select(*by, F.lit(first - size).alias("start_us"), F.lit(0).cast("bigint").alias(value))
+    rows = changes.select(*by, "start_us", F.col(value).cast("bigint").alias(value)).unionByName(before)
+    rows = written(rows.withColumn("_back", -F.col("start_us")), "changes")
+    runs = OrderedScan(rows, by, ["_back"], **scan_args).lag(_next="start_us").result()
+    at = F.greatest("start_us", F.lit(first))
+    until = F.coalesce("_next", F.lit(last + size))
+    runs = runs.select(*by, value, at.alias("_at"), floor_div(until - at, size).alias("_n")).where("_n > 0")
+    piece = F.sequence(F.lit(0).cast("bigint"), floor_div(F.col("_n") - 1, RUN_PIECE))
+    from_i = F.col("_p") * RUN_PIECE
+    step = F.sequence(from_i, F.least(F.col("_n"), from_i + RUN_PIECE) - 1)
+    dense = runs.withColumn("_p", F.explode(piece)).withColumn("_i", F.explode(step))
+    return dense.select(*by, (F.col("_at") + F.col("_i") * size).alias("start_us"), value)
+
+
 def metrics_snapshots(
-    rolled: DataFrame, assignments: DataFrame | None = None, every_s: float = 1.0
+    rolled: DataFrame, assignments: DataFrame | None = None, every_s: float = 1.0, **scan_args
 ) -> DataFrame:
-    """All metrics of a run in long form: ``t_us`` (end of the interval), ``metric, id, value``."""
+    """All metrics of a run in long form: ``t_us`` (end of the interval), ``metric, id, value``.
+
+    Every snapshot has the depths, and the offset (and, with ``assignments``, the lag) of every
+    consumer that is assigned or ever consumed; ``produced`` names the producers that did.
+    """
     size = micros(every_s)
     rolled = written(rolled, "rollup")  # every metric reads it
+    bounds = rolled.agg(F.min("start_us"), F.max("start_us")).first()
+    span = (bounds[0] or 0, bounds[1] if bounds[1] is not None else -size)
+    consumers = rolled.where(F.col("consumer_id").isNotNull()).select("consumer_id")
+    if assignments is not None:
+        consumers = consumers.unionByName(assignments.select(F.col("member_id").alias("consumer_id")))
+    consumers = consumers.distinct()
 
     def long(df: DataFrame, metric: str, id_col: Column, value: str) -> DataFrame:
         t = (F.col("start_us") + size).alias("t_us")
@@ -187,10 +229,12 @@ def metrics_snapshots(
         ])),
     )
     out = depths.unionByName(long(produced_per_second(rolled), "produced", F.col("producer_id"), "count"))
-    offsets = consumer_offsets_series(rolled)
+    offsets = consumer_offsets_series(rolled, **scan_args)
+    offsets = carried_forward(offsets, consumers, "consumer_offset", span, every_s, **scan_args)
     out = out.unionByName(long(offsets, "consumer_offset", F.col("consumer_id"), "consumer_offset"))
     if assignments is not None:
-        lags = consumer_lag_series(rolled, assignments)
+        lags = consumer_lag_series(rolled, assignments, **scan_args)
+        lags = carried_forward(lags, consumers, "lag", span, every_s, **scan_args)
         out = out.unionByName(long(lags, "consumer_lag", F.col("consumer_id"), "lag"))
     return out
 

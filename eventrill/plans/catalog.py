@@ -19,6 +19,7 @@ from eventrill.plans.analysis import analysis_report, load_run_report
 from eventrill.plans.oracle_views import env_sql, hash_sql, life_log_sql, life_sql, log_sql
 from eventrill.session import shared_dir, written
 from eventrill.sources import eventlog, synth, tables
+from eventrill.streaming import folds
 from eventrill.streaming import queries as streams
 from eventrill.streaming.state import GapAlarms, OffsetCommits, RetryRouter
 
@@ -907,15 +908,22 @@ def _(spark, d):
     return lifecycle.consumer_lag_series(_rolled(spark, d), _assigned(spark, d, "roundrobin"))
 
 
-_SNAPSHOTS = f""", {_DEPTHS.format(s=H_US)}, {_LAGS.format(s=H_US)},
+_SNAPSHOTS = f""", {_DEPTHS.format(s=H_US)},
+  consumers AS (SELECT DISTINCT member_id AS consumer_id FROM assigned_rr UNION SELECT DISTINCT consumer_id FROM lifecycle WHERE consumer_id IS NOT NULL),
+  every AS (SELECT start_us, consumer_id FROM spine CROSS JOIN consumers),
+  took AS (SELECT consumer_id, ts_us // {H_US} * {H_US} AS start_us, count(*) AS n FROM lifecycle WHERE kind = 'consumed' GROUP BY 1, 2),
+  moved AS (SELECT a.member_id AS consumer_id, ts_us // {H_US} * {H_US} AS start_us, sum(q) AS n
+            FROM deltas x JOIN assigned_rr a ON a.topic = x.topic AND a."partition" = x."partition" GROUP BY 1, 2),
   snap AS (
     SELECT ts_us // {H_US} * {H_US} + {H_US} AS t_us, 'produced' AS metric, producer_id AS id, count(*) AS value
     FROM lifecycle WHERE kind = 'produced' GROUP BY 1, 3
-    UNION ALL SELECT start_us + {H_US}, 'consumer_offset', consumer_id, consumer_offset FROM ({_OFFSETS.format(s=H_US)})
+    UNION ALL SELECT start_us + {H_US}, 'consumer_offset', consumer_id, CAST(sum(coalesce(n, 0)) OVER (PARTITION BY consumer_id ORDER BY start_us) AS BIGINT)
+    FROM every LEFT JOIN took USING (start_us, consumer_id)
     UNION ALL SELECT end_us, 'queue_depth', '', queue_depth FROM depth
     UNION ALL SELECT end_us, 'retry_depth', '', retry_depth FROM depth
     UNION ALL SELECT end_us, 'dlq_depth', '', dlq_depth FROM depth
-    UNION ALL SELECT start_us + {H_US}, 'consumer_lag', consumer_id, lag FROM lags)"""
+    UNION ALL SELECT start_us + {H_US}, 'consumer_lag', consumer_id, CAST(sum(coalesce(n, 0)) OVER (PARTITION BY consumer_id ORDER BY start_us) AS BIGINT)
+    FROM every LEFT JOIN moved USING (start_us, consumer_id))"""
 
 
 def _snapshots(spark, d):
@@ -1244,6 +1252,37 @@ def _(spark, d):
     return router.newest()
 
 
+@query("stream_depths", life_sql(f", {_DEPTHS.format(s=H_US)} SELECT * FROM depth"))
+def _(spark, d):
+    steps = tables.whole_lifecycle_stream(spark, d, late_s=LATE, closing_s=4 * DAY)
+    return streams.run_to_table(folds.stream_depths(streams.with_watermark(steps, HOUR), HOUR), "depths")
+
+
+@query(
+    "stream_session_line",
+    env_sql(f", {_session_sql(H_US // 4).replace('FROM env', 'FROM base')} SELECT * FROM win"),
+)
+def _(spark, d):
+    return streams.run_to_table(folds.stream_session_line(_bounded_stream(spark, d), HOUR / 4), "session-line")
+
+
+@query(
+    "stream_silences",
+    env_sql(
+        f""", {_session_sql(2 * H_US, 'producer_id').replace('FROM env', 'FROM base')}
+        SELECT producer_id, end_us AS last_us, end_us + {2 * H_US} AS raised_us, count AS events FROM win"""
+    ),
+)
+def _(spark, d):
+    return streams.run_to_table(folds.stream_silences(_bounded_stream(spark, d), 2 * HOUR), "silences")
+
+
+@query("stream_retries_apart", ORACLES["stream_route_retries"])
+def _(spark, d):
+    attempts = tables.attempts_apart(spark, d, apart_s=4 * DAY, late_s=LATE, closing_s=30 * DAY)
+    return streams.run_to_table(folds.stream_retries(streams.with_watermark(attempts, HOUR), 5 * DAY), "retries")
+
+
 # -- keyed scans with heavy groups cut into pieces, as they are from a million rows on ---------------
 
 PIECE = {"rows_per_piece": 500}

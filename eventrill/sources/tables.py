@@ -148,22 +148,26 @@ def event_stream(
     so much after the last one, ends the stream: it makes a bounded run give its last windows.
     """
     rows = _typed(raw_events(spark, sf_dir)).drop("_group").withColumn("ts", F.timestamp_micros("ts_us"))
+    return _as_stream(rows, F.pmod("sequence_number", F.lit(10)) == 0, late_s, closing_s)
+
+
+def _as_stream(rows: DataFrame, late: Column, late_s: float, closing_s: float | None, **closing: Column) -> DataFrame:
+    """``rows`` in parts, by ``ts_us``; those that are ``late`` count as later; ``closing`` are columns of the last event."""
+    spark = rows.sparkSession
     lo, hi = rows.agg(F.min("ts_us"), F.max("ts_us")).first()
     path = shared_dir(spark, "event-stream")
     if hi is None:
         rows.write.parquet(path)
     else:
-        tardy = F.when(F.pmod("sequence_number", F.lit(10)) == 0, round(late_s * 1_000_000)).otherwise(0)
+        tardy = F.when(late, round(late_s * 1_000_000)).otherwise(0)
         width = max(1, -(-(hi - lo + 1) // STREAM_BATCHES))
         part = F.least(F.floor((F.col("ts_us") - lo + tardy) / width), F.lit(STREAM_BATCHES - 1))
         for k in range(STREAM_BATCHES):  # one after another: the files' times give their order
             rows.where(part == k).repartition(FILES_PER_BATCH).write.mode("append").parquet(path)
         if closing_s is not None:
             last = F.lit(hi + round(closing_s * 1_000_000)).cast("bigint")
-            end = spark.range(1).select(*[
-                (last if c == "ts_us" else F.timestamp_micros(last) if c == "ts" else F.lit(None).cast(rows.schema[c].dataType)).alias(c)
-                for c in rows.columns
-            ])
+            known = {"ts_us": last, "ts": F.timestamp_micros(last), **closing}
+            end = spark.range(1).select(*[known.get(c, F.lit(None)).cast(rows.schema[c].dataType).alias(c) for c in rows.columns])
             end.write.mode("append").parquet(path)
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(path)
 
@@ -182,6 +186,34 @@ def attempt_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("event_id").alias("message_id"), "attempt", ok.alias("ok"))
 
 
+def attempts_apart(spark: SparkSession, sf_dir: str, apart_s: float, late_s: float, closing_s: float) -> DataFrame:
+    """The attempts of ``attempts`` as a stream, those of a message ``apart_s`` apart, so in different batches."""
+    rows = _typed(raw_events(spark, sf_dir)).withColumn("attempt", F.explode(F.array(*map(F.lit, (1, 2, 3)))))
+    rows = rows.select(
+        F.col("event_id").alias("message_id"), "attempt", (~_fails(F.col("event_id"), F.col("attempt"))).alias("ok"),
+        (F.col("ts_us") + (F.col("attempt") - 1) * round(apart_s * 1_000_000)).alias("ts_us"),
+    )
+    rows = rows.withColumn("ts", F.timestamp_micros("ts_us"))
+    late = F.pmod(F.crc32("message_id") + F.col("attempt"), F.lit(10)) == 0
+    # the event that ends the stream is an attempt, too: what is filtered out moves no watermark
+    return _as_stream(rows, late, late_s, closing_s, attempt=F.lit(1))
+
+
+def whole_lifecycle_stream(spark: SparkSession, sf_dir: str, **stream) -> DataFrame:
+    """Everything that happens to each message, as ``lifecycle_log`` tells it of ``produced`` and ``attempts``."""
+    def step(kind: Column, attempt: int | None, later_s: int, when: Column) -> Column:
+        fields = F.struct(kind.alias("kind"), F.lit(attempt).cast("int").alias("attempt"), F.lit(later_s).alias("_later"))
+        return F.when(when, fields)
+
+    failed = [_fails(F.col("event_id"), F.lit(k)) for k in (1, 2, 3)]
+    tries = [F.lit(True), failed[0], failed[0] & failed[1]]
+    steps = [step(F.lit("produced"), None, 0, F.lit(True))]
+    steps += [step(F.when(failed[k], "retry").otherwise("consumed"), k + 1, k + 1, tries[k]) for k in range(3)]
+    steps.append(step(F.lit("dlq"), 3, 4, tries[2] & failed[2]))
+    rows = event_stream(spark, sf_dir, **stream).select("ts_us", F.inline(F.array_compact(F.array(*steps))))
+    return rows.select(F.timestamp_micros(F.col("ts_us") + F.col("_later") * 1_000_000).alias("ts"), "kind", "attempt")
+
+
 def lifecycle_stream(spark: SparkSession, sf_dir: str, **stream) -> DataFrame:
     """Production and first attempt of each message, as they happen."""
     outcome = F.when(_fails(F.col("event_id"), F.lit(1)), "retry").otherwise("consumed")

@@ -17,7 +17,7 @@ from eventrill.functions.times import micros
 from eventrill.session import shared_dir
 
 
-def _interval(seconds: float) -> str:
+def interval(seconds: float) -> str:
     return f"{micros(seconds)} microseconds"
 
 
@@ -33,14 +33,14 @@ def _flat(windowed: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def stream_tumbling(env: DataFrame, size_s: float, by: Sequence[str] = ()) -> DataFrame:
-    grouped = env.groupBy(F.window("ts", _interval(size_s)), *by)
+    grouped = env.groupBy(F.window("ts", interval(size_s)), *by)
     return _flat(grouped.agg(F.count(F.lit(1)).alias("count")), by)
 
 
 def stream_sliding(env: DataFrame, size_s: float, slide_s: float, by: Sequence[str] = ()) -> DataFrame:
     if slide_s > size_s:
         raise ValueError("a streaming window cannot slide by more than its size")
-    grouped = env.groupBy(F.window("ts", _interval(size_s), _interval(slide_s)), *by)
+    grouped = env.groupBy(F.window("ts", interval(size_s), interval(slide_s)), *by)
     return _flat(grouped.agg(F.count(F.lit(1)).alias("count")), by)
 
 
@@ -49,7 +49,7 @@ def stream_sessions(env: DataFrame, gap_s: float, keys: Sequence[str] = ()) -> D
     for the whole stream, kept in one state: prefer keys."""
     # a key is required; a literal would be folded away
     columns = list(keys) or [F.substring(F.col("ts").cast("string"), 1, 0).alias("_stream")]
-    grouped = env.groupBy(*columns, F.session_window("ts", _interval(gap_s)))
+    grouped = env.groupBy(*columns, F.session_window("ts", interval(gap_s)))
     out = grouped.agg(F.max("ts").alias("_last"), F.count(F.lit(1)).alias("count"))
     return out.select(
         *keys, F.unix_micros("session_window.start").alias("start_us"), F.unix_micros("_last").alias("end_us"), "count"

@@ -82,3 +82,29 @@ def test_fan_out(spark, make_env):
     routes = spark.createDataFrame([("p", "t"), ("p", "u"), ("q", "t")], "producer_id string, topic string")
     env = make_env([{"producer_id": "p"}, {"producer_id": "q"}, {"producer_id": "r"}])
     assert sorted(r["topic"] for r in lc.fan_out(env, routes).collect()) == ["t", "t", "u"]
+
+
+def test_last_values_are_carried_to_every_interval(spark, monkeypatch):
+    monkeypatch.setattr(lc, "RUN_PIECE", 3)  # runs longer than a piece
+    changes = spark.createDataFrame([("a", 2 * S, 5), ("a", 3 * S, 7), ("b", 0, 1), ("z", 11 * S, 4)], "k string, start_us bigint, v bigint")
+    keys = spark.createDataFrame([("a",), ("b",), ("c",), ("z",)], "k string")
+    rows = lc.carried_forward(changes, keys, "v", (0, 11 * S), rows_per_piece=2).orderBy("k", "start_us").collect()
+    series = {}
+    for i, r in enumerate(rows):
+        assert r["start_us"] == i % 12 * S
+        series.setdefault(r["k"], []).append(r["v"])
+    assert series == {"a": [0, 0, 5] + [7] * 9, "b": [1] * 12, "c": [0] * 12, "z": [0] * 11 + [4]}
+    assert lc.carried_forward(changes, keys.limit(0), "v", (0, S)).where("k <> 'a' AND k <> 'b' AND k <> 'z'").count() == 0
+
+
+def test_every_consumer_is_in_every_snapshot(spark, attempts, produced):
+    rolled = lc.rollup(lc.lifecycle_log(produced(OUTCOMES), attempts(OUTCOMES)))
+    assigned = spark.createDataFrame([("t", 0, "c"), ("u", 0, "idle")], "topic string, partition int, member_id string")
+    series = lc.metrics_snapshots(rolled, assigned)
+    held = {}
+    for r in series.where("metric IN ('consumer_offset', 'consumer_lag')").orderBy("t_us").collect():
+        held.setdefault((r["metric"], r["id"]), []).append(r["value"])
+    consumed = held.pop(("consumer_offset", "c"))
+    assert consumed == [0, 1, 2, 3, 3]
+    assert held == {("consumer_lag", "c"): [5, 0, 0, 0, 0], ("consumer_offset", "idle"): [0] * 5, ("consumer_lag", "idle"): [0] * 5}
+    assert lc.metrics_snapshots(rolled.limit(0), assigned).count() == 0
