@@ -37,8 +37,7 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    digest = docs.select("doc_id", F.sha2(exact.normalised(F.col("text")), 256).alias("text_sha256"))
-    return exact.exact_dedup(docs).join(digest, "doc_id").select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    return exact.exact_dedup(docs, digests=True).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 OP2_SQL = r"""

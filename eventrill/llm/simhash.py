@@ -14,7 +14,7 @@ Inside a leaf of a task the same split goes on in numpy, down to a few hundred p
 are compared exactly. A leaf returns a spanning forest of its links, never all pairs.
 
 Defined results: a text without words, or null, has fingerprint 0, linked like any other;
-repeated ids give one row each with the same fingerprint's component; a null id is ignored
+repeated ids give one row each with their fingerprint's component; a null id is ignored
 for the smallest id unless all ids of a component are null; other columns are not read.
 """
 
@@ -61,14 +61,16 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, bits`` (the fingerprint as a signed 64-bit integer)."""
+    """``doc_id, text_hash, bits`` (the fingerprint as a signed 64-bit integer)."""
 
     def work(batches):
         for batch in batches:
-            bits = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.int64())], ["doc_id", "bits"])
+            bits = np.array([fingerprint(t, words) for t in batch.column(2).to_pylist()], np.uint64).view(np.int64)
+            columns = [batch.column(0), batch.column(1), pa.array(bits, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "bits"])
 
-    return in_arrow(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), work, "doc_id bigint, bits bigint")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return in_arrow(rows, work, "doc_id bigint, text_hash bigint, bits bigint")
 
 
 def _distance(points: np.ndarray, to: np.uint64) -> np.ndarray:
@@ -219,13 +221,20 @@ def near_links(
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, **search) -> DataFrame:
-    """Per document ``doc_id, bits, component_id``, the smallest id that links reach."""
+    """Per row ``doc_id, text_hash, bits, component_id, first``.
+
+    ``component_id`` is the smallest id that links reach; ``first`` says whether the row is the one
+    of its component with the smallest id, then the smallest hash of its text.
+    """
     marked = shared_table(fingerprints(docs, words), "simhash")
-    firsts = marked.groupBy("bits").agg(F.min("doc_id").alias("first_id"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    firsts = shared_table(marked.groupBy("bits").agg(F.min(order).alias("first")), "simhash")
     links = near_links(firsts.select("bits"), max_bits, **search)
     joined = shared_table(components(links, "simhash"), "simhash")  # one row per linked fingerprint
     classes = firsts.join(joined, F.col("bits") == F.col("node"), "left")
-    classes = classes.select("bits", F.coalesce("component", "bits").alias("component"), "first_id")
-    least = classes.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_bits = classes.join(least, "component").select("bits", "component_id")
-    return marked.join(by_bits, "bits").select("doc_id", "bits", "component_id")
+    classes = classes.select("bits", F.coalesce("component", "bits").alias("component"), "first")
+    least = classes.groupBy("component").agg(F.min("first").alias("least"))
+    by_bits = classes.join(least, "component").select("bits", "least")
+    row = marked.join(by_bits, "bits")
+    is_first = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))
+    return row.select("doc_id", "text_hash", "bits", F.col("least.doc_id").alias("component_id"), is_first.alias("first"))

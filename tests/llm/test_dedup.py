@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from eventrill.llm import exact, simhash, substring, suffix
 from eventrill.llm.common import components
@@ -32,36 +33,73 @@ def passages(seed, n_docs, words="a b c d e f g h i j".split(), shared=6, length
 
 
 def exact_by_hand(rows):
-    groups, seen = {}, {}
+    """One row per input row; of rows equal in id and normalised text as many are kept as the group has to give: one."""
+    groups = {}
     for doc_id, text in rows:
         key = SPACE.sub("", text or "")
         groups.setdefault(key, []).append((-len(text or ""), doc_id is None, doc_id))
-        seen[(doc_id, key)] = None
-    return {
-        (d, min(groups[k])[2], len(groups[k]), d == min(groups[k])[2]) for d, k in seen
-    }
+    out = []
+    for key, members in groups.items():
+        best = min(members, key=lambda m: (m[0], m[1], m[2] or 0))
+        digest = hashlib.sha256(key.encode()).hexdigest()
+        rest = list(members)
+        rest.remove(best)
+        out += [(best[2], best[2], len(members), True, digest)]
+        out += [(m[2], best[2], len(members), False, digest) for m in rest]
+    return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("limits", [{}, {"small_keys": 0}, {"prefix_chars": 3}])
-def test_exact(odd_docs, limits):
-    got = {tuple(r) for r in exact.exact_dedup(odd_docs, **limits).collect()}
-    assert got == exact_by_hand(ODD)
+COLUMNS = ["doc_id", "keep_id", "group_size", "kept"]
+REPEATS = [
+    (None, "same  text"), (4, "sametext"), (None, "other"), (None, "third"), (6, "x y"), (6, "x y"), (6, "x y"), (6, "else"),
+    (7, "a b"), (7, " ab"), (8, "ab"), (None, None), (None, ""), (9, "x" * 100_000), (9, "x" * 100_000 + " "),
+]
 
 
-def test_exact_with_null_id_and_empty_table(make_docs):
-    rows = [(None, "same  text"), (4, "sametext"), (None, "other")]
-    got = {tuple(r) for r in exact.exact_dedup(make_docs(rows)).collect()}
-    assert got == {(None, None, 2, True), (4, None, 2, False), (None, None, 1, True)}
-    assert exact.exact_dedup(make_docs([])).count() == 0
+@pytest.mark.parametrize("limits", [{}, {"small_keys": 0}, {"prefix_chars": 3}])
+@pytest.mark.parametrize("rows", [ODD, REPEATS])
+def test_exact(make_docs, rows, limits, monkeypatch):
+    if limits.get("small_keys") == 0:
+        monkeypatch.setattr(exact, "SMALL_GROUPS", 0)
+    found = exact.exact_dedup(make_docs(rows), digests=True, **limits).select(*COLUMNS, "text_sha256")
+    assert sorted((tuple(r) for r in found.collect()), key=str) == exact_by_hand(rows)
+    plain = exact.exact_dedup(make_docs(rows), **limits).select(*COLUMNS)
+    assert sorted((tuple(r) for r in plain.collect()), key=str) == sorted((r[:4] for r in exact_by_hand(rows)), key=str)
 
 
-def test_keep_one_keeps_rows_whole(make_docs):
-    docs = make_docs([(1, "a"), (1, "a"), (2, "b"), (None, "c"), (3, "d")])
-    verdict = docs.select("doc_id", (~docs.doc_id.eqNullSafe(2)).alias("kept"))
-    for limit in (100, 0):
-        kept = exact.keep_one(docs, verdict, limit)
-        assert kept.columns == docs.columns
-        assert sorted(r["text"] for r in kept.collect()) == ["a", "c", "d"]
+def test_exact_of_an_empty_table(make_docs):
+    assert exact.exact_dedup(make_docs([])).count() == 0
+    assert exact.keep_one(make_docs([]), exact.exact_dedup(make_docs([]))).count() == 0
+
+
+@pytest.mark.parametrize("small_keys", [100, 0])
+def test_no_text_is_lost(make_docs, small_keys):
+    docs = make_docs(REPEATS)
+    kept = exact.keep_one(docs, exact.exact_dedup(docs), small_keys)
+    assert kept.columns == docs.columns
+    bodies = [SPACE.sub("", r["text"] or "") for r in kept.collect()]
+    assert sorted(bodies) == sorted({SPACE.sub("", t or "") for _, t in REPEATS})
+    again = exact.keep_one(docs, exact.exact_dedup(docs), small_keys)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, again.collect()))
+
+
+def test_a_copy_that_shares_the_id_of_a_unique_text(make_docs):
+    docs = make_docs([(1, "copy"), (6, "copy"), (6, "unique"), (None, "u1"), (None, "u2"), (0, "copy")])
+    kept = exact.keep_one(docs, exact.exact_dedup(docs)).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept) == [("0", "copy"), ("6", "unique"), ("None", "u1"), ("None", "u2")]
+
+
+def test_near_duplicates_leave_one_row_of_each_group(make_docs):
+    base = " ".join(f"word{i}" for i in range(400))
+    rows = [(None, base), (None, base + " "), (None, "alone one two"), (3, "not at all like it"), (3, base), (5, base), (5, base), (9, None), (8, "")]
+    docs = make_docs(rows)
+    found = simhash.near_duplicates(docs)
+    assert found.count() == len(rows)
+    kept = exact.keep_one(docs, found.select("doc_id", "text_hash", F.col("first").alias("kept"))).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept) == sorted(
+        [("3", base), ("3", "not at all like it"), ("None", "alone one two"), ("8", "")]
+    )
+    assert simhash.near_duplicates(make_docs([])).count() == 0
 
 
 def fingerprint_by_hand(text, k=3):
