@@ -10,8 +10,9 @@ Vectors are dealt to shards of bounded size, in the order of their label; each s
 tree: centres are taken from a node's vectors, farthest first, until all are covered within
 ``SHRINK`` times its radius or there are ``FANOUT`` of them, so that they lie farther apart than
 their covering radii; each vector joins its nearest centre; small or single-valued nodes are
-leaves. A search takes nodes best first by their upper bound, skips those whose bounds lie
-outside all windows that are still open, and compares exact integer products at the leaves.
+leaves. A block of anchors goes down a tree together and skips nodes whose bounds lie outside an
+anchor's windows; each then takes its leaves best first by their upper bound, until none can
+beat what it has, and compares exact integer products there.
 
 Two searches share this. An anchor's positives: the best rows of its label, from the trees that
 hold the label. Its negatives: per positive, the best rows of other labels whose score lies in
@@ -32,7 +33,6 @@ empty table gives an empty table; other columns are not read.
 
 from __future__ import annotations
 
-import heapq
 import pickle
 
 import numpy as np
@@ -47,8 +47,8 @@ SHARD_ROWS = 4_096
 BLOCK_ANCHORS = 512
 SMALL_BLOCKS = 64  # of anchors: at most so many blocks are broadcast, some MB
 SHRINK = 0.5
-FANOUT = 32
-LEAF = 48
+FANOUT = 8
+LEAF = 256
 SCALE = 256
 GREATEST = float(1 << 24)
 NO_ID = np.int64(2**63 - 1)
@@ -79,11 +79,9 @@ def _matrix(lists: pa.Array) -> np.ndarray:
     return out
 
 
-def products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Exact inner products of rows of whole numbers with a whole-numbered query."""
-    if vectors.dtype == np.float64 and query.dtype == np.float64:
-        return (vectors @ query).astype(np.int64)
-    return vectors.astype(np.int64) @ query.astype(np.int64)
+def products(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Exact inner products of whole-numbered rows and columns; as floats they must stay below 2^52."""
+    return (vectors @ queries).astype(np.int64)
 
 
 class CoverTree:
@@ -149,68 +147,100 @@ class CoverTree:
         """Vectors as floats where that keeps all products with the anchors exact."""
         self._float = self.vectors.astype(np.float64)
 
-    def search(self, query: np.ndarray, label: int, same: bool, own: int | None, windows: list[tuple[int, int]], k: int):
-        """Per window ``(low, high)`` the best ``k`` rows of the label, or of others, as ``(score, id, row)``."""
-        width = self.vectors.shape[1]
-        short = query[:width] if len(query) >= width else np.r_[query, np.zeros(width - len(query), np.int64)]
-        length = float(np.sqrt((query.astype(np.float64) ** 2).sum()))
-        exact = length * self.norm < 2.0**52
-        vectors, asked = (self._float, short.astype(np.float64)) if exact else (self.vectors, short)
-        reach = length * self.norm
-        best: list[list[tuple[int, int, int]]] = [[] for _ in windows]  # heaps of (score, -id, -row)
-        low, high = np.array([w[0] for w in windows]), np.array([w[1] for w in windows])
-        if not windows or not (same or (self.labels != label).any()):
-            return best
-
-        def bounds(nodes: np.ndarray):
-            if not reach:
-                return np.zeros(len(nodes)), np.zeros(len(nodes))
-            products_here = self._float[self.centre_at[nodes]] @ short.astype(np.float64)
-            middle = np.arccos(np.clip(products_here / reach, -1, 1))
-            slack = 1e-9 * reach + 1
-            upper = reach * np.cos(np.maximum(middle - self.angle_at[nodes], 0)) + slack
-            lower = reach * np.cos(np.minimum(middle + self.angle_at[nodes], np.pi)) - slack
-            return upper, lower
-
-        def wanted(upper: np.ndarray, lower: np.ndarray) -> np.ndarray:
-            return ((upper[:, None] >= low) & (lower[:, None] <= high)).any(axis=1)
-
-        root = np.array([0])
-        upper, lower = bounds(root)
-        waiting = [(-float(upper[0]), 0, float(lower[0]))]
+    def _bounds(self, nodes: np.ndarray, asked: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Greatest and least product below each node (rows) with each query (columns)."""
+        products_here = self._float[self.centre_at[nodes]] @ asked.T
+        safe = np.where(reach > 0, reach, 1.0)
+        middle = np.arccos(np.clip(products_here / safe, -1, 1))
+        angle, slack = self.angle_at[nodes][:, None], 1e-9 * reach + 1
+        upper = reach * np.cos(np.maximum(middle - angle, 0)) + slack
+        return upper, reach * np.cos(np.minimum(middle + angle, np.pi)) - slack
+
+    def search(
+        self, queries: np.ndarray, labels: np.ndarray, same: bool, own: np.ndarray | None, low: np.ndarray, high: np.ndarray, k: int
+    ) -> tuple[np.ndarray, ...]:
+        """For a block of queries, and their windows ``low`` to ``high`` (a column each), the best ``k`` rows.
+
+        Gives ``query, window, score, id, row`` of rows of the query's label, or of others; the row
+        ``own`` of a query never. The queries go down the tree together, each where its windows
+        may be met. Then each takes its leaves best first, in rounds of growing numbers; what its
+        windows have found raises the score that a later leaf must be able to reach.
+        """
+        width, n = self.vectors.shape[1], len(queries)
+        asked = np.zeros((n, width), np.int64)
+        both = min(width, queries.shape[1])
+        asked[:, :both] = queries[:, :both]
+        as_float = asked.astype(np.float64)
+        reach = np.sqrt((queries.astype(np.float64) ** 2).sum(axis=1)) * self.norm
+        exact = bool((reach < 2.0**52).all())
+        vectors, factors = (self._float, as_float) if exact else (self.vectors, asked)
+        low = low.copy()
+        none = np.zeros(0, np.int64)
+        best = (none, none, none, none, none)
+        if not same and not (self.labels[:, None] != np.unique(labels)).any():
+            return best  # one label, that of all queries
+
+        def wanted(upper, lower, who):
+            return ((upper[..., None] >= low[who]) & (lower[..., None] <= high[who])).any(axis=-1)
+
+        everyone = np.arange(n)
+        upper, lower = self._bounds(np.array([0]), as_float, reach)
+        waiting = [(0, everyone, upper[0], lower[0])]
+        leaves: list[tuple[np.ndarray, ...]] = []
         while waiting:
-            above, node, below = heapq.heappop(waiting)
-            if -above < low.min():
-                break
-            if not ((-above >= low) & (below <= high)).any():
-                continue
+            node, who, upper, lower = waiting.pop()
             children = self.children[node]
-            if children is not None:
-                upper, lower = bounds(children)
-                some = wanted(upper, lower)
-                for u, child, b in zip(upper[some].tolist(), children[some].tolist(), lower[some].tolist()):
-                    heapq.heappush(waiting, (-u, child, b))
+            if children is None:
+                leaves.append((np.full(len(who), node), who, upper, lower))
                 continue
-            members = self.members[node]
-            members = members[(self.labels[members] == label) == same]
-            scores = products(vectors[members], asked)
-            for w, heap in enumerate(best):
-                inside = np.nonzero((scores >= low[w]) & (scores <= high[w]))[0]
-                if len(inside) > k:  # of one leaf only the best, ids from small to great
-                    inside = inside[np.lexsort((self.rows[members[inside]], self.ids[members[inside]], -scores[inside]))]
-                    inside = inside[: k + 1] if own is not None else inside[:k]
-                for i in inside.tolist():
+            upper, lower = self._bounds(children, as_float[who], reach[who])
+            meets = wanted(upper, lower, who)
+            for c, child in enumerate(children.tolist()):
+                some = meets[c]
+                if some.any():
+                    waiting.append((child, who[some], upper[c][some], lower[c][some]))
+        if not leaves:
+            return best
+        leaf, who, upper, lower = (np.concatenate(column) for column in zip(*leaves))
+        order = np.lexsort((-upper, who))
+        leaf, who, upper, lower = leaf[order], who[order], upper[order], lower[order]
+        place = np.arange(len(who)) - np.searchsorted(who, who)
+        done, take = 0, 1
+        while len(who):
+            now = np.nonzero(place < done + take)[0]
+            now = now[np.argsort(leaf[now], kind="stable")]
+            cuts = np.nonzero(np.diff(leaf[now]))[0] + 1
+            found = [best]
+            for part in np.split(now, cuts):
+                members, asking = self.members[leaf[part[0]]], who[part]
+                scores = products(vectors[members], factors[asking].T)
+                fits = (self.labels[members][:, None] == labels[asking]) == same
+                if own is not None:
+                    fits &= self.rows[members][:, None] != own[asking]
+                for w in range(low.shape[1]):
+                    i, j = np.nonzero(fits & (scores >= low[asking, w]) & (scores <= high[asking, w]))
                     m = members[i]
-                    if own is not None and self.rows[m] == own:
-                        continue
-                    entry = (int(scores[i]), -int(self.ids[m]), -int(self.rows[m]))
-                    if len(heap) < k:
-                        heapq.heappush(heap, entry)
-                    elif entry > heap[0]:
-                        heapq.heapreplace(heap, entry)
-                if len(heap) == k:
-                    low[w] = max(low[w], heap[0][0])  # a tie may still win by its id
-        return [sorted(((-s, -i, -r) for s, i, r in heap)) for heap in best]
+                    found.append((asking[j], np.full(len(i), w), scores[i, j], self.ids[m], self.rows[m]))
+            best = self._first(tuple(np.concatenate(column) for column in zip(*found)), k)
+            query, window, score = best[:3]
+            last = np.nonzero(np.r_[(np.diff(query) != 0) | (np.diff(window) != 0), True])[0] if len(query) else none
+            full = last[np.diff(np.r_[-1, last]) == k]
+            # a row of the same score may still win by its id
+            low[query[full], window[full]] = np.maximum(low[query[full], window[full]], score[full])
+            done, take = done + take, 2 * take
+            left = (place >= done) & wanted(upper, lower, who)
+            leaf, who, upper, lower, place = leaf[left], who[left], upper[left], lower[left], place[left]
+        return best
+
+    @staticmethod
+    def _first(found: tuple[np.ndarray, ...], k: int) -> tuple[np.ndarray, ...]:
+        """The first ``k`` per query and window, by score, then id, in that order."""
+        query, window, score, ids, rows = found
+        order = np.lexsort((rows, ids, -score, window, query))
+        query, window = query[order], window[order]
+        begin = np.r_[True, (np.diff(query) != 0) | (np.diff(window) != 0)] if len(order) else np.zeros(0, bool)
+        rank = np.arange(len(order)) - np.maximum.accumulate(np.where(begin, np.arange(len(order)), 0))
+        return tuple(column[order[rank < k]] for column in found)
 
 
 TREES = "shard bigint, labels array<bigint>, tree binary"
@@ -277,17 +307,18 @@ def _searched(pairs: DataFrame, same: bool, k: int) -> DataFrame:
                 if shard != known:
                     known, tree = shard, pickle.loads(data.as_py())
                     tree.prepare()
-                out = [[], [], [], [], []]
-                for q in queries:
-                    windows = [(w["low"], w["high"]) for w in q["windows"]]
-                    found = tree.search(np.array(q["vec"], np.int64), q["label"], same, q["row"] if same else None, windows, k)
-                    for at, answers in enumerate(found):
-                        for score, vec_id, row in answers:
-                            for column, value in zip(out, (q["row"], at, -score, vec_id, row)):
-                                column.append(value)
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+                rows = np.array([q["row"] for q in queries], np.int64)
+                labels = np.array([q["label"] for q in queries], np.int64)
+                asked = _matrix(pa.array([q["vec"] for q in queries], pa.list_(pa.int64())))
+                low = np.ones((len(queries), max(len(q["windows"]) for q in queries)), np.int64)
+                high = np.zeros_like(low)  # a query with fewer windows: nothing lies in the others
+                for i, q in enumerate(queries):
+                    for w, window in enumerate(q["windows"]):
+                        low[i, w], high[i, w] = window["low"], window["high"]
+                query, window, *answer = tree.search(asked, labels, same, rows if same else None, low, high, k)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(out, kinds)], ["row", "window", "score", "vec_id", "found"]
+                    [pa.array(rows[query]), pa.array(window.astype(np.int32)), *map(pa.array, answer)],
+                    ["row", "window", "score", "vec_id", "found"],
                 )
 
     return in_arrow(pairs.select("shard", "tree", "queries"), work, FOUND)

@@ -85,15 +85,20 @@ def test_trees_bound_and_skip():
     assert seen == 900
     looked = []
     products = hardneg.products
-    hardneg.products = lambda v, q: looked.append(len(v)) or products(v, q)
+    hardneg.products = lambda v, q: looked.append(len(v) * q.shape[1]) or products(v, q)
+    asked = np.array([650, 610])
+    low, high = (np.full((2, 1), x) for x in hardneg.EVERYTHING)
     try:
-        q = vectors[650]
-        scores = vectors @ q
-        best = tree.search(q, 2, True, 650, [hardneg.EVERYTHING], 5)[0]
+        found = tree.search(vectors[asked], labels[asked], True, asked, low, high, 5)
     finally:
         hardneg.products = products
-    mine = sorted((-int(scores[i]), int(i) + 5, int(i)) for i in range(600, 900) if i != 650)[:5]
-    assert best == mine and sum(looked) < 600  # the two other clusters are skipped
+    best = list(zip(*(c.tolist() for c in found)))
+    mine = []
+    for n, i in enumerate(asked.tolist()):
+        scores = vectors @ vectors[i]
+        first = sorted((-int(scores[j]), j + 5, j) for j in range(600, 900) if j != i)[:5]
+        mine += [(n, 0, -s, a, j) for s, a, j in first]
+    assert best == mine and sum(looked) < 2 * 600  # the two other clusters are skipped
 
 
 def test_large_components_stay_exact(spark):
