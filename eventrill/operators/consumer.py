@@ -169,3 +169,14 @@ def consumer_stats(consumed: DataFrame, percentiles: Sequence[int] = (50, 95, 99
 
     out = long(totals).unionByName(long(elapsed)).unionByName(long(latencies))
     return out.unionByName(counts("event_type", "by_type")).unionByName(counts("partition", "by_partition"))
+
+
+def ordered_stats(stats: DataFrame) -> DataFrame:
+    """``consumer_stats`` with ``place``, the row's place within its metric, as the table is read.
+
+    Types by falling count, equal ones by name; partitions by rising number. A metric has as
+    many rows as there are types, or partitions.
+    """
+    number = F.when(F.col("metric") == "by_partition", F.col("key").try_cast("bigint")).otherwise(-F.col("value"))
+    order = Window.partitionBy("metric").orderBy(F.asc_nulls_last(number), "key")
+    return stats.withColumn("place", F.row_number().over(order))

@@ -98,10 +98,12 @@ def load_run_report(
     """Load runs as JSON rows ``section, body``: totals, one row per pattern, the rates over time."""
     runs = written(rate_conformance(events, profiles), "runs")  # one row per pattern
     latency = latency_summary(events, latency_ms, ["pattern"])
+    summaries = latency.select(F.col("pattern").alias("_pattern"), F.struct(*latency.columns[1:]).alias("latency"))
+    patterns = runs.join(summaries, F.col("pattern").eqNullSafe(F.col("_pattern")), "left").drop("_pattern")
     return _json_rows(
         {
             "totals": load_report(runs),
-            "patterns": runs.join(latency.select("pattern", F.struct(*latency.columns[1:]).alias("latency")), "pattern"),
+            "patterns": patterns,
             "throughput_series": throughput_points(events, every_s),
         }
     )

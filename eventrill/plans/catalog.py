@@ -9,17 +9,19 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventrill.functions import payloads, rates
-from eventrill.operators import aggregates, anomalies, consumer, lifecycle, load, topiclog, windows
+from eventrill.operators import (
+    aggregates, anomalies, consumer, idindex, intervals, lifecycle, load, sketches, topiclog, windows,
+)
 from eventrill.operators.order import OrderedScan
 from eventrill.plans.analysis import analysis_report, load_run_report
 from eventrill.plans.oracle_views import env_sql, hash_sql, life_log_sql, life_sql, log_sql
 from eventrill.session import shared_dir, written
 from eventrill.sources import eventlog, synth, tables
-from eventrill.streaming import folds
+from eventrill.streaming import folds, progress
 from eventrill.streaming import queries as streams
 from eventrill.streaming.state import GapAlarms, OffsetCommits, RetryRouter
 
@@ -1334,3 +1336,243 @@ def _(spark, d):
     known = tables.topics(spark, d)
     new = known.withColumn("topic", F.concat("topic", F.lit("-new")))
     return topiclog.drop_topics(topiclog.create_topics(known, new), known.where(F.col("topic") == "error").select("topic"))
+
+
+# -- points in intervals, gaps and overlaps ---------------------------------------------------------
+
+# an incident begins with an error and lasts as many seconds as its amount squared: seconds to days
+_INCIDENTS = """
+  incidents AS (SELECT event_id AS incident_id, "partition", ts_us AS start_us, ts_us + 1 + CAST(floor(amount * amount) AS BIGINT) * 1000000 AS end_us
+                FROM base WHERE event_type = 'error')"""
+
+
+def _incidents(spark, d):
+    lasts = 1 + F.floor(F.col("amount") * F.col("amount")).cast("bigint") * 1_000_000
+    errors = tables.enveloped(spark, d).where("event_type = 'error'")
+    return errors.select(
+        F.col("event_id").alias("incident_id"), "partition", F.col("ts_us").alias("start_us"), (F.col("ts_us") + lasts).alias("end_us")
+    )
+
+
+@query(
+    "events_in_incidents",
+    env_sql(
+        f""", {_INCIDENTS}
+        SELECT incident_id, i."partition", count(*) AS events, CAST(sum(sequence_number) AS BIGINT) AS numbers, max(ts_us) AS last_us
+        FROM incidents i JOIN base b ON b."partition" = i."partition" AND ts_us >= start_us AND ts_us < end_us GROUP BY 1, 2"""
+    ),
+)
+def _(spark, d):
+    events = tables.enveloped(spark, d).select("partition", "ts_us", "sequence_number")
+    found = intervals.in_intervals(events, _incidents(spark, d), by=["partition"])
+    return found.groupBy("incident_id", "partition").agg(
+        F.count(F.lit(1)).alias("events"), F.sum("sequence_number").alias("numbers"), F.max("ts_us").alias("last_us")
+    )
+
+
+@query(
+    "counts_in_incidents",
+    env_sql(
+        f""", {_INCIDENTS}
+        SELECT incident_id, start_us, end_us, count(ts_us) AS count
+        FROM incidents i LEFT JOIN base b ON ts_us >= start_us AND ts_us < end_us GROUP BY 1, 2, 3"""
+    ),
+)
+def _(spark, d):
+    return intervals.counts_in_intervals(tables.enveloped(spark, d).select("ts_us"), _incidents(spark, d).drop("partition"))
+
+
+@query(
+    "events_in_session_lines",
+    env_sql(
+        f""", {_session_sql(6 * H_US, 'partition_key').replace('FROM env', 'FROM base')}
+        SELECT partition_key, start_us, end_us, count AS events FROM win"""
+    ),
+)
+def _(spark, d):
+    # a session line holds its last event, so as an interval it ends a microsecond later
+    events = tables.enveloped(spark, d).select("partition_key", "ts_us", "ordinal")
+    lines = windows.sessions(events, 6 * HOUR, ["partition_key"]).withColumn("_end", F.col("end_us") + 1).drop("count")
+    held = intervals.counts_in_intervals(events, lines, end="_end", by=["partition_key"], **PIECE)
+    return held.select("partition_key", "start_us", "end_us", F.col("count").alias("events"))
+
+
+# of the segments of a partition's log, every seventh is lost and every fifth written ten records too far
+_SEGMENTS = """, ends AS (SELECT topic, "partition", max("offset") + 1 AS hi FROM log GROUP BY 1, 2),
+  cut AS (SELECT topic, "partition", hi, unnest(range(0, (hi + 19) // 20)) AS k FROM ends),
+  segments AS (SELECT topic, "partition", k * 20 AS a, least(hi, k * 20 + 20) + CASE WHEN k % 5 = 2 THEN 10 ELSE 0 END AS z FROM cut WHERE k % 7 <> 3),
+  marked AS (SELECT * FROM segments UNION ALL SELECT topic, "partition", 0, 0 FROM ends UNION ALL SELECT topic, "partition", hi, hi FROM ends),
+  swept AS (SELECT *, max(z) OVER (PARTITION BY topic, "partition" ORDER BY a, z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM marked)"""
+
+
+@query(
+    "segment_faults",
+    log_sql(
+        f"""{_SEGMENTS} SELECT topic, "partition", 'gap' AS kind, far AS "from", a AS "to" FROM swept WHERE a > far
+        UNION ALL SELECT topic, "partition", 'overlap', a, least(z, far) FROM swept WHERE a < least(z, far)"""
+    ),
+)
+def _(spark, d):
+    ends = _log(spark, d).groupBy("topic", "partition").agg((F.max("offset") + 1).alias("hi"))
+    k = F.col("k")
+    cut = ends.withColumn("k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.call_function("div", F.col("hi") - 1, F.lit(20)))))
+    end = F.least("hi", k * 20 + 20) + F.when(k % 5 == 2, 10).otherwise(0)
+    segments = cut.where(k % 7 != 3).select("topic", "partition", (k * 20).alias("start"), end.alias("end"))
+    bounds = ends.withColumn("lo", F.lit(0).cast("bigint"))
+    return intervals.faults(segments, ["topic", "partition"], bounds=bounds, rows_per_piece=50)
+
+
+@query(
+    "assignment_faults",
+    log_sql(
+        """, expected AS (SELECT t.topic, CAST(p.i AS INTEGER) AS "partition" FROM topics t JOIN (SELECT range AS i FROM range(0, 64)) p ON p.i < t.num_partitions),
+        held AS (SELECT topic, "partition", member_id FROM assigned_rr WHERE member_id <> 'consumer-1' OR "partition" <> 1
+                 UNION SELECT topic, "partition", 'extra' FROM assigned_rr WHERE "partition" = 0
+                 UNION SELECT topic, 99, 'extra' FROM topics),
+        parts AS (SELECT DISTINCT topic, "partition" FROM held)
+        SELECT 'unassigned' AS kind, * FROM (SELECT * FROM expected EXCEPT SELECT * FROM parts)
+        UNION ALL SELECT 'unknown', * FROM (SELECT * FROM parts EXCEPT SELECT * FROM expected)
+        UNION ALL SELECT 'shared', topic, "partition" FROM held GROUP BY topic, "partition" HAVING count(DISTINCT member_id) > 1"""
+    ),
+)
+def _(spark, d):
+    # an assignment with faults: one member's partition 1 is lost, partition 0 is given twice, and one is made up
+    known, given = tables.topics(spark, d), _assigned(spark, d, "roundrobin").select("topic", "partition", "member_id")
+    expected = known.select("topic", F.explode(F.sequence(F.lit(0), F.col("num_partitions") - 1)).alias("partition"))
+    extra = F.lit("extra").alias("member_id")
+    held = given.where("member_id <> 'consumer-1' OR partition <> 1")
+    held = held.unionByName(given.where("partition = 0").select("topic", "partition", extra))
+    held = held.unionByName(known.select("topic", F.lit(99).alias("partition"), extra))
+    return intervals.set_faults(held, expected)
+
+
+# -- stored sketches, ids of earlier runs, checksums, counts on the way -----------------------------------
+
+_HALF = "(SELECT min(ts_us) // {w} * {w} + 60 * {w} FROM env)"
+
+
+@query(
+    "latency_sketches",
+    env_sql(
+        f""", l AS (SELECT event_type, ts_us, (received_at_us - ts_us) / 1e3 AS v FROM env),
+        p AS (SELECT unnest(['p50_ms', 'p95_ms', 'p99_ms', 'p999_ms']) AS percentile),
+        s AS (SELECT 'all' AS span, * FROM l UNION ALL SELECT 'first', * FROM l WHERE ts_us < {_HALF.format(w=6 * H_US)})
+        SELECT span, event_type, percentile, count(*) AS samples, min(v) AS min_ms, max(v) AS max_ms, TRUE AS within
+        FROM s, p GROUP BY 1, 2, 3"""
+    ),
+)
+def _(spark, d):
+    samples = consumer.with_latency(env(spark, d)).select("event_type", "ts_us", "latency_ms")
+    stored = written(sketches.sketch_windows(samples, "latency_ms", 6 * HOUR, ["event_type"]), "sketches")
+    first = windows.bounds(samples)[0] // (6 * H_US) * (6 * H_US) + 60 * 6 * H_US
+    names = list(load.PERCENTILES)
+    ask = lambda span, to_us: sketches.summary(
+        sketches.merged_sketches(stored, ["event_type"], to_us=to_us), ["event_type"]
+    ).select(
+        F.lit(span).alias("span"), F.lit(to_us).cast("bigint").alias("to_us"), F.col("event_type").alias("of"), "samples", "min_ms", "max_ms",
+        F.inline(F.array(*[
+            F.struct(F.lit(n).alias("percentile"), F.lit(load.PERCENTILES[n] / 100).alias("rank"), F.col(n).alias("value")) for n in names
+        ])),
+    )
+    asked = ask("all", None).unionByName(ask("first", first))
+    # the exact ranks that each answer may claim, against the rank asked for; three times the error of 99 in 100
+    held = samples.join(F.broadcast(asked), (F.col("event_type") == F.col("of")) & F.coalesce(F.col("ts_us") < F.col("to_us"), F.lit(True)))
+    ranks = held.groupBy("span", "event_type", "percentile", "rank", "samples", "min_ms", "max_ms").agg(
+        (F.count_if(F.col("latency_ms") < F.col("value")) / F.col("samples")).alias("below"),
+        (F.count_if(F.col("latency_ms") <= F.col("value")) / F.col("samples")).alias("upto"),
+    )
+    error = 3 * sketches.RANK_ERROR[sketches.SKETCH_K]
+    within = (F.col("below") - error <= F.col("rank")) & (F.col("rank") <= F.col("upto") + error)
+    return ranks.select("span", "event_type", "percentile", "samples", "min_ms", "max_ms", within.alias("within"))
+
+
+_SPLIT = "(SELECT min(ts_us) + (max(ts_us) - min(ts_us)) * 3 // 5 FROM base)"
+
+
+@query(
+    "first_seen_over_runs",
+    env_sql(
+        f"SELECT event_id, min(CASE WHEN ts_us < {_SPLIT} THEN 0 ELSE 1 END) AS run, min(ordinal) AS ordinal FROM base GROUP BY event_id"
+    ),
+)
+def _(spark, d):
+    # the first run sees three fifths of the time; the second one reads everything again
+    events = tables.enveloped(spark, d)
+    lo, hi, _ = windows.bounds(events)
+    path = shared_dir(spark, "id-index")
+    runs = [events.where(F.col("ts_us") < lo + (hi - lo) * 3 // 5), env(spark, d)]
+    found = [
+        idindex.IdIndex(spark, path, buckets=8, ids_per_bucket=4_000).first_seen(rows.select("event_id", "ordinal"), n)
+        .select("event_id", F.lit(n).alias("run"), "ordinal") for n, rows in enumerate(runs)
+    ]
+    return found[0].unionByName(found[1])
+
+
+@query("stream_first_seen", env_sql("SELECT event_id, min(ts_us) AS ts_us FROM env GROUP BY 1"))
+def _(spark, d):
+    # without a watermark: an id is remembered for good
+    out = shared_dir(spark, "first-seen")
+    seen = idindex.FirstSeen(idindex.IdIndex(spark, shared_dir(spark, "id-index"), buckets=8), out)
+    arrivals = tables.redelivered_stream(spark, d).select("event_id", "ts_us", F.col("ts_us").alias("ordinal"))
+    streams.run_batches(arrivals, seen, shared_dir(spark, "first-seen-checkpoint"))
+    return spark.read.schema("event_id string, ts_us bigint").parquet(out).select("event_id", "ts_us")
+
+
+@query(
+    "content_checksums",
+    env_sql(
+        """, c AS (SELECT event_id, '{"a":{"list":[1,{"x":"é \\"","y":null}],"z":true},"k":' || replace(payload, ' ', '') || ',"kind":"' || event_type || '"}' AS body FROM base)
+        SELECT event_id, CAST('0x' || substr(md5(body), 1, 15) AS BIGINT) AS checksum, TRUE AS same FROM c"""
+    ),
+)
+def _(spark, d):
+    # the same content, with its keys in two orders and with other spaces
+    rows = tables.enveloped(spark, d)
+    kind = F.concat(F.lit('"kind": "'), "event_type", F.lit('"'))
+    one = F.concat(F.lit('{"k": '), "payload", F.lit(', "a": {"z": true, "list": [1, {"y": null, "x": "é \\""}]}, '), kind, F.lit("}"))
+    two = F.concat(F.lit("{"), kind, F.lit(',"a" : {"list":[ 1,{"x":"\\u00e9 \\"","y":null}],"z":true},\n"k":'), "payload", F.lit("}"))
+    sums = [topiclog.content_checksum(body) for body in (one, two)]
+    return rows.select("event_id", sums[0].alias("checksum"), (sums[0] == sums[1]).alias("same"))
+
+
+@query(
+    "stream_progress",
+    env_sql(
+        f""", s AS (SELECT min(ts_us) AS lo, greatest(1, (max(ts_us) - min(ts_us) + 5) // 5) AS width FROM base),
+        b AS (SELECT *, least(4, (ts_us - lo + CASE WHEN sequence_number % 10 = 0 THEN {H_US // 2} ELSE 0 END) // width) AS batch FROM base, s)
+        SELECT batch, count(*) AS rows, count(*) AS received, count(*) FILTER (WHERE NOT ({IN_TYPES})) AS filtered_out,
+               count(*) FILTER (WHERE {IN_TYPES}) AS processed, 0 AS late FROM b GROUP BY 1"""
+    ),
+)
+def _(spark, d):
+    with progress.ProgressRows(spark) as seen:
+        rows = streams.with_watermark(tables.event_stream(spark, d, late_s=LATE), HOUR)
+        streams.run_to_table(streams.stream_tumbling(progress.counted_filter(rows, TYPES, PARTITIONS), DAY), "progress")
+    return seen.table().withColumn("late", F.col("late").cast("int"))
+
+
+@query(
+    "observed_totals",
+    env_sql(f"SELECT count(*) AS received, count(*) FILTER (WHERE NOT ({IN_TYPES})) AS filtered_out, count(*) FILTER (WHERE {IN_TYPES}) AS processed, count(DISTINCT event_id) FILTER (WHERE {IN_TYPES}) AS ids FROM env"),
+)
+def _(spark, d):
+    # one job gives the rows and the counts of what was read for them
+    counts = Observation("consumer")
+    ids = progress.counted_filter(env(spark, d), TYPES, PARTITIONS, counts).select("event_id").distinct()
+    n = written(ids, "ids").count()
+    return spark.range(1).select(*[F.lit(v).cast("bigint").alias(k) for k, v in {**counts.get, "ids": n}.items()])
+
+
+@query(
+    "ordered_stats",
+    env_sql(
+        f""", {_CONSUMED}, k AS (
+          SELECT 'by_type' AS metric, event_type AS key, count(*) AS n FROM c WHERE processed GROUP BY 2
+          UNION ALL SELECT 'by_partition', CAST("partition" AS VARCHAR), count(*) FROM c WHERE processed GROUP BY 2)
+        SELECT metric, key, CAST(n AS DOUBLE) AS value,
+               CAST(row_number() OVER (PARTITION BY metric ORDER BY CASE WHEN metric = 'by_type' THEN -n ELSE CAST(key AS BIGINT) END, key) AS INTEGER) AS place
+        FROM k""".replace("CAST(key AS BIGINT)", "TRY_CAST(key AS BIGINT)")
+    ),
+)
+def _(spark, d):
+    return consumer.ordered_stats(consumer.consumer_stats(_consumed(spark, d))).where("metric LIKE 'by%'")
