@@ -6,7 +6,8 @@ occurs in some item. A window is ``window`` consecutive words of an item (a shor
 one window); words inside any occurrence of a window are hit, and hit spans can be removed.
 
 Items are taken in blocks of bounded size, one pass over the documents for each, so a large
-test set never has to fit into one task.
+test set never has to fit into one task. The blocks' spans are gathered before anything is
+decided, so the result does not depend on them.
 
 Defined results: null and empty texts have no words and are clean; an item without words is
 ignored; equal items, and rows that repeat an item's id, count once per id; an item with a
@@ -17,16 +18,18 @@ document clean; repeated documents give one row each; other columns are not read
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventrill.llm.common import in_arrow, shared_table
+from eventrill.llm.common import in_arrow, is_small, shared_table
 
 WINDOW = 10
 BLOCK_WORDS = 100_000  # item words in one automaton
+SMALL_HITS = 50_000  # documents, with their spans
 
 # bytes that are words' bytes once A-Z is lower-cased: digits, a-z, and everything not ASCII
 _TO_WORDS = bytes(
@@ -178,36 +181,31 @@ def _scan(docs: DataFrame, automaton: Automaton) -> DataFrame:
     return in_arrow(docs.select(*ids, "text"), work, SPANS)
 
 
-def _automata(benchmark: DataFrame, window: int, block_words: int):
-    """Automata of blocks of items; one block at a time is on the driver."""
+def _automata(benchmark: DataFrame, window: int, block_words: int) -> tuple[int, Iterator[Automaton]]:
+    """The number of blocks of items, and their automata; one block at a time is on the driver."""
     item = F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id")
     items = benchmark.select(item, "text").where(F.col("text").isNotNull()).distinct()
     chars = items.agg(F.sum(F.length("text") + 1)).first()[0] or 0
     blocks = int(chars // (2 * block_words)) + 1  # a word and what parts it from the next: two characters or more
-    for i in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i).collect()
-        yield Automaton([(r["item_id"], words_of(r["text"])) for r in sorted(rows)], window)
 
+    def made():
+        for i in range(blocks):
+            rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i).collect()
+            yield Automaton([(r["item_id"], words_of(r["text"])) for r in sorted(rows)], window)
 
-def contamination(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS
-) -> DataFrame:
-    """Per document ``doc_id, n_words, spans, items``: merged spans of hit words, ids of the items found."""
-    scans = [_scan(docs, automaton) for automaton in _automata(benchmark, window, block_words)]
-    if len(scans) == 1:
-        return scans[0].drop("text_hash")
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"))
-    found = scans[0]
-    for scan in scans[1:]:
-        found = found.unionByName(scan)
-    found = shared_table(found, "decontam").dropDuplicates()
+    return blocks, made()
+
+
+def _gathered(docs: DataFrame, automata: Iterator[Automaton]) -> DataFrame:
+    """``doc_id, text_hash, n_words, spans, items`` of every text: what all blocks find, spans merged."""
+    # a block's pass is over before the next automaton is made
+    scans = [shared_table(_scan(docs, automaton), "decontam") for automaton in automata]
+    found = reduce(DataFrame.unionByName, scans).dropDuplicates()
     joined = found.groupBy("doc_id", "text_hash").agg(
         F.max("n_words").alias("n_words"),
         F.flatten(F.collect_list("spans")).alias("_spans"),  # a row per block
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
-    same = F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("l.text_hash") == F.col("r.text_hash"))
-    out = rows.alias("l").join(joined.alias("r"), same).select("l.doc_id", "n_words", "_spans", "items")
     kind = "array<struct<start: bigint, end: bigint>>"
     empty = F.array().cast(kind)
 
@@ -220,7 +218,23 @@ def contamination(
         )
 
     merged = F.aggregate(F.array_sort("_spans"), empty, step)
-    return out.select("doc_id", "n_words", merged.alias("spans"), "items")
+    return joined.select("doc_id", "text_hash", "n_words", merged.alias("spans"), "items")
+
+
+def _same_text(left: str, right: str) -> Column:
+    return F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id")) & (F.col(f"{left}.text_hash") == F.col(f"{right}.text_hash"))
+
+
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS
+) -> DataFrame:
+    """Per document ``doc_id, n_words, spans, items``: merged spans of hit words, ids of the items found."""
+    blocks, automata = _automata(benchmark, window, block_words)
+    if blocks == 1:
+        return _scan(docs, next(automata)).drop("text_hash")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"))
+    joined = rows.alias("l").join(_gathered(docs, automata).alias("r"), _same_text("l", "r"))
+    return joined.select("l.doc_id", "n_words", "spans", "items")
 
 
 def hit_words() -> Column:
@@ -251,27 +265,41 @@ def decontaminated(
     """``docs`` without hit spans, and without documents of which more than ``max_coverage`` is hit.
 
     With ``max_coverage=0`` every document that holds a window of an item goes. All columns
-    stay as they are, but for the cut ``text``. No shuffle: each block's automaton filters
-    the rows that the one before let through.
+    stay as they are, but for the cut ``text``. What is hit is judged on the whole text, by all
+    items together, however they are dealt into blocks. With one block nothing is shuffled; with
+    more, the spans of the documents that are hit are joined to their texts.
     """
+    blocks, automata = _automata(benchmark, window, block_words)
     at = docs.columns.index("text")
-    for automaton in _automata(benchmark, window, block_words):
-        docs = in_arrow(docs, _remover(automaton, at, max_coverage), docs.schema)
-    return docs
+    if blocks == 1:
+        automaton = next(automata)
+        return in_arrow(docs, _remover(at, max_coverage, lambda words, _: automaton.hits(words)[0]), docs.schema)
+    hits = shared_table(_gathered(docs, automata).where(F.size("spans") > 0).select("doc_id", "text_hash", "spans"), "decontam")
+    side = F.broadcast(hits) if is_small(hits, SMALL_HITS) else hits
+    side = side.select(F.col("doc_id").alias("_hit_id"), F.col("text_hash").alias("_hit_text"), F.col("spans").alias("_hit_spans"))
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_hit_id")) & (F.xxhash64("text") == F.col("_hit_text"))
+    joined = docs.join(side, same, "left").select(*docs.columns, "_hit_spans")
+    given = lambda _, spans: [(s["start"], s["end"]) for s in spans or ()]
+    return in_arrow(joined, _remover(at, max_coverage, given), docs.schema)
+
 
+def _remover(at: int, max_coverage: float, spans_of: Callable[[list[bytes], list | None], list[tuple[int, int]]]):
+    """Cuts or drops texts; ``spans_of`` takes a text's words and what the column after the last one holds."""
 
-def _remover(automaton: Automaton, at: int, max_coverage: float):
     def work(batches):
         for batch in batches:
             keep, texts = [], []
-            for text in batch.column(at).to_pylist():
+            width = len(batch.schema.names)
+            known = batch.column(width - 1).to_pylist() if batch.schema.names[-1] == "_hit_spans" else [None] * batch.num_rows
+            for text, found in zip(batch.column(at).to_pylist(), known):
                 words = words_of(text)
-                spans, _ = automaton.hits(words)
+                spans = spans_of(words, found)
                 hit = sum(b - a for a, b in spans)
                 keep.append(hit == 0 or hit <= max_coverage * len(words))
                 texts.append(_cut(text, spans) if spans and keep[-1] else text)
-            columns = batch.columns
+            columns = batch.columns[: width - (batch.schema.names[-1] == "_hit_spans")]
             columns[at] = pa.array(texts, batch.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(keep, pa.bool_()))
+            fields = [batch.schema.field(i) for i in range(len(columns))]
+            yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields)).filter(pa.array(keep, pa.bool_()))
 
     return work

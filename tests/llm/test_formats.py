@@ -69,21 +69,33 @@ def test_contamination(spark, make_docs, leaks, block_words):
         assert all(a["end"] < b["start"] for a, b in zip(r["spans"], r["spans"][1:]))
 
 
-@pytest.mark.parametrize("block_words", [100_000, 40])
-def test_decontaminated_text(spark, make_docs, leaks, block_words):
+@pytest.mark.parametrize("block_words,small_hits", [(100_000, 100), (60, 100), (25, 0)])
+@pytest.mark.parametrize("max_coverage", [0.0, 0.3, 0.5])
+def test_decontaminated_text(spark, make_docs, leaks, block_words, small_hits, max_coverage, monkeypatch):
+    monkeypatch.setattr(decontam, "SMALL_HITS", small_hits)
     docs, items = leaks
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
-    strict = decontam.decontaminated(make_docs(docs), benchmark, max_coverage=0.0, block_words=block_words)
-    clean = [(d, t) for d, t in docs if not hits_by_hand(t, items, 10)[1]]
-    assert strict.columns == make_docs(docs).columns
-    assert sorted((str(r["doc_id"]), r["text"]) for r in strict.collect()) == sorted((str(d), t) for d, t in clean)
-    if block_words > 40:
-        cut = decontam.decontaminated(make_docs(docs), benchmark, max_coverage=0.5)
-        for r in cut.collect():
-            text = dict(docs)[r["doc_id"]]
-            n, hit, _ = hits_by_hand(text, items, 10)
-            assert len(hit) <= 0.5 * n
-            assert words(r["text"]) == [w for i, w in enumerate(words(text)) if i not in hit]
+    left = decontam.decontaminated(make_docs(docs), benchmark, max_coverage=max_coverage, block_words=block_words)
+    assert left.columns == make_docs(docs).columns
+    expected = []
+    for doc_id, text in docs:
+        n, hit, _ = hits_by_hand(text, items, 10)
+        if len(hit) <= max_coverage * n:
+            expected.append((str(doc_id), [w for i, w in enumerate(words(text)) if i not in hit]))
+    got = left.collect()
+    assert sorted((str(r["doc_id"]), words(r["text"])) for r in got) == sorted(expected)
+    clean = {t for _, t in docs if not hits_by_hand(t, items, 10)[1]}
+    assert {r["text"] for r in got} >= clean  # untouched texts stay as they are, null too
+
+
+def test_coverage_is_added_up_over_blocks(spark, make_docs):
+    one, two = (" ".join(f"{c}{i}" for i in range(12)) for c in "ab")
+    text = " ".join([one, two, *(f"own{i}" for i in range(14))])  # 24 of 38 words are hit, 12 by each item
+    benchmark = spark.createDataFrame([(1, one), (2, two)], "item_id bigint, text string")
+    for block_words in (100_000, 5):
+        assert decontam.decontaminated(make_docs([(1, text)]), benchmark, block_words=block_words).count() == 0
+        cut = decontam.decontaminated(make_docs([(1, text)]), benchmark, max_coverage=0.7, block_words=block_words).first()
+        assert cut["text"].split() == [f"own{i}" for i in range(14)]
 
 
 def test_contamination_of_odd_and_empty_tables(spark, odd_docs):
