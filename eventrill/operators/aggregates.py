@@ -59,9 +59,17 @@ def with_gap(env: DataFrame, **scan_args) -> DataFrame:
     return scan.result().withColumn("gap_us", F.col("ts_us") - F.col("prev_us"))
 
 
-def gap_stats(env: DataFrame, **scan_args) -> DataFrame:
-    """Least, greatest and mean time between neighbours in ms; no row under two events."""
-    gaps = with_gap(env.select("event_id", "ts_us", "ordinal"), **scan_args)
+def gaps_of(env: DataFrame, **scan_args) -> DataFrame:
+    """What gap statistics and silences are read from: ``ts_us, prev_us, prev_event, gap_us`` of each event."""
+    return with_gap(env.select("event_id", "ts_us", "ordinal"), **scan_args).drop("event_id", "ordinal")
+
+
+def gap_stats(env: DataFrame, gaps: DataFrame | None = None, **scan_args) -> DataFrame:
+    """Least, greatest and mean time between neighbours in ms; no row under two events.
+
+    ``gaps`` is ``gaps_of(env)``, if it is there already.
+    """
+    gaps = gaps_of(env, **scan_args) if gaps is None else gaps
     return (
         gaps.agg(
             F.min("gap_us").alias("_min"), F.max("gap_us").alias("_max"),

@@ -8,11 +8,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventrill.functions.rounding import fixed, rounded
 from eventrill.functions.times import micros, seconds
-from eventrill.operators.aggregates import with_gap
+from eventrill.operators.aggregates import gaps_of
 from eventrill.operators.order import OrderedScan
 from eventrill.operators.windows import non_empty, with_throughput
 from eventrill.schema import ANOMALY
+from eventrill.session import broadcast_if_small, written
 
 COLUMNS = ANOMALY.fieldNames()
 
@@ -30,6 +32,7 @@ def window_rates(windows: DataFrame, compat: bool = False) -> DataFrame:
     ``compat`` attributes the k-th rate to the k-th of *all* windows, empty ones
     included, and loses the windows beyond; otherwise a rate stays with its window.
     """
+    windows = written(windows.select("start_us", "end_us", "count"), "windows")  # read twice; a row per window
     rated = with_throughput(non_empty(windows))
     stats = rated.agg(
         F.struct(
@@ -58,28 +61,31 @@ def rate_anomalies(windows: DataFrame, spike_threshold: float = 3.0, compat: boo
             F.when(z > spike_threshold * 2, "high").otherwise("medium").alias("severity"),
             "start_us",
             "end_us",
-            F.format_string("Rate %.1f eps deviates %.1fσ from mean %.1f eps", eps, z, mean).alias("description"),
+            # fixed values: the texts of the reports, here and below
+            F.format_string(
+                "Rate %s eps deviates %sσ from mean %s eps", fixed(eps, 1), fixed(z, 1), fixed(mean, 1)
+            ).alias("description"),
             _details(
-                rate_eps=F.bround(eps, 2), mean_eps=F.bround(mean, 2), z_score=F.bround(z, 2)
+                rate_eps=rounded(eps, 2), mean_eps=rounded(mean, 2), z_score=rounded(z, 2)
             ).alias("details"),
         )
     )
 
 
-def time_gaps(env: DataFrame, gap_s: float = 10.0, **scan_args) -> DataFrame:
-    """Silences of more than ``gap_s`` between neighbours in time."""
+def time_gaps(env: DataFrame, gap_s: float = 10.0, gaps: DataFrame | None = None, **scan_args) -> DataFrame:
+    """Silences of more than ``gap_s`` between neighbours in time. ``gaps`` is ``gaps_of(env)``, if it is there already."""
     threshold = micros(gap_s)
     gap = seconds(F.col("gap_us"))
     return (
-        with_gap(env.select("event_id", "ts_us", "ordinal"), **scan_args)
+        (gaps_of(env, **scan_args) if gaps is None else gaps)
         .where(F.col("gap_us") > threshold)
         .select(
             F.lit("rate_gap").alias("kind"),
             F.when(F.col("gap_us") < threshold * 3, "medium").otherwise("high").alias("severity"),
             F.col("prev_us").alias("start_us"),
             F.col("ts_us").alias("end_us"),
-            F.format_string("Event gap of %.1fs between events", gap).alias("description"),
-            _details(gap_s=F.bround(gap, 2), prev_event=F.col("prev_event")).alias("details"),
+            F.format_string("Event gap of %ss between events", fixed(gap, 1)).alias("description"),
+            _details(gap_s=rounded(gap, 2), prev_event=F.col("prev_event")).alias("details"),
         )
     )
 
@@ -90,8 +96,16 @@ def with_sighting(env: DataFrame, order: tuple[str, ...] = ("ts_us", "ordinal"),
 
 
 def duplicates(env: DataFrame, **scan_args) -> DataFrame:
-    """One report per repeated sighting of an event id, in time order."""
-    rows = with_sighting(env.select("event_id", "event_type", "ts_us", "ordinal"), **scan_args)
+    """One report per repeated sighting of an event id, in time order.
+
+    Ids that occur once are most of them and are left out before anything is ordered: of the
+    whole table only ids are counted, and only rows of repeated ids are ranked.
+    """
+    narrow = env.select("event_id", "event_type", "ts_us", "ordinal")
+    repeated = narrow.groupBy(F.col("event_id").alias("_id")).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+    repeated = broadcast_if_small(written(repeated.select("_id"), "repeated"))
+    again = written(narrow.join(repeated, F.col("event_id").eqNullSafe(F.col("_id")), "left_semi"), "repeated")
+    rows = with_sighting(again, **scan_args)
     return rows.where(F.col("sighting") > 1).select(
         F.lit("duplicate").alias("kind"),
         F.lit("high").alias("severity"),
@@ -137,11 +151,12 @@ def detect_anomalies(
     spike_threshold: float = 3.0,
     gap_s: float = 10.0,
     compat: bool = False,
+    gaps: DataFrame | None = None,
 ) -> DataFrame:
     """All four detectors' reports, with ``detector`` naming the one that made each."""
     parts = {
         "rate": rate_anomalies(windows, spike_threshold, compat),
-        "gap": time_gaps(env, gap_s),
+        "gap": time_gaps(env, gap_s, gaps),
         "duplicate": duplicates(env),
         "sequence": sequence_gaps(env),
     }

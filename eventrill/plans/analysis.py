@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventrill.operators.aggregates import (
-    count_by_partition, count_by_producer, gap_stats, stream_summary, top_event_types,
+    count_by_partition, count_by_producer, gap_stats, gaps_of, stream_summary, top_event_types,
 )
 from eventrill.operators.anomalies import detect_anomalies
 from eventrill.functions.rates import Profile
+from eventrill.functions.rounding import rounded
 from eventrill.operators.load import (
     REPORT_EVERY_S, latency_summary, load_report, rate_conformance, throughput_points,
 )
@@ -32,16 +33,18 @@ def analyze(
     """Windows, anomalies, distributions, throughput and gaps of ``env``. Empty frames on no events."""
     if window_type not in WINDOW_TYPES:
         raise ValueError(f"unknown window type {window_type!r}; choose one of {', '.join(WINDOW_TYPES)}")
-    windows = windows_of(env, window_type, window_size_s, slide_s, gap_s)
+    # each is read by several parts below, so it is made once
+    windows = written(windows_of(env, window_type, window_size_s, slide_s, gap_s), "windows")
+    gaps = written(gaps_of(env), "gaps")
     return {
         "windows": windows,
-        "anomalies": detect_anomalies(env, windows, spike_threshold, gap_s, compat),
+        "anomalies": detect_anomalies(env, windows, spike_threshold, gap_s, compat, gaps),
         "summary": stream_summary(env),
         "top_event_types": top_event_types(env, top_n),
         "partition_distribution": count_by_partition(env),
         "producer_distribution": count_by_producer(env),
         "throughput_series": throughput_series(windows),
-        "gap_stats": gap_stats(env),
+        "gap_stats": gap_stats(env, gaps),
     }
 
 
@@ -52,19 +55,18 @@ def analysis_report(env: DataFrame, **options) -> DataFrame:
     a distributed table (see ``write_report``), not one document.
     """
     parts = analyze(env, **options)
-    # read three times below: counted twice, listed once
-    windows = written(parts["windows"], "windows")
-    anomalies = written(parts["anomalies"], "anomalies")
+    windows = parts["windows"]
+    anomalies = written(parts["anomalies"], "anomalies")  # counted and listed
     size = float(options.get("window_size_s", 10.0))
     kind = options.get("window_type", "tumbling")
 
     def sec(us: str) -> Column:
-        return F.bround(F.col(us) / 1e6, 2)
+        return rounded(F.col(us) / 1e6, 2)
 
     summary = parts["summary"].select(
         "total_events",
-        F.bround("duration_s", 2).alias("duration_s"),
-        F.bround("overall_eps", 2).alias("overall_throughput_eps"),
+        rounded(F.col("duration_s"), 2).alias("duration_s"),
+        rounded(F.col("overall_eps"), 2).alias("overall_throughput_eps"),
         F.lit(windows.count()).alias("num_windows"),
         F.lit(anomalies.count()).alias("num_anomalies"),
         F.lit(kind).alias("window_type"),
@@ -76,9 +78,9 @@ def analysis_report(env: DataFrame, **options) -> DataFrame:
         "partition_distribution": parts["partition_distribution"],
         "producer_distribution": parts["producer_distribution"],
         "throughput_series": throughput_series(windows).select(
-            sec("t_us").alias("t"), F.bround("eps", 2).alias("eps"), "count"
+            sec("t_us").alias("t"), rounded(F.col("eps"), 2).alias("eps"), "count"
         ),
-        "gap_stats": parts["gap_stats"].select(*[F.bround(c, 2).alias(c) for c in ("min_ms", "max_ms", "mean_ms")]),
+        "gap_stats": parts["gap_stats"].select(*[rounded(F.col(c), 2).alias(c) for c in ("min_ms", "max_ms", "mean_ms")]),
         "anomalies": anomalies.select(
             "kind", "severity", "description",
             sec("start_us").alias("window_start"), sec("end_us").alias("window_end"), "details",

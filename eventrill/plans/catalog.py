@@ -1576,3 +1576,90 @@ def _(spark, d):
 )
 def _(spark, d):
     return consumer.ordered_stats(consumer.consumer_stats(_consumed(spark, d))).where("metric LIKE 'by%'")
+
+
+# -- texts and rounded numbers of the reports ------------------------------------------------------------
+
+def _two(x: str) -> str:
+    """A number to two decimals by its exact value."""
+    return f"CAST(printf('%.2f', {x}) AS DOUBLE)"
+
+
+_RATE_ROWS = f"""
+  SELECT CASE WHEN eps > mean THEN 'rate_spike' ELSE 'rate_gap' END AS kind, CASE WHEN z > {{t}} * 2 THEN 'high' ELSE 'medium' END AS severity,
+         start_us, end_us, printf('Rate %.1f eps deviates %.1fσ from mean %.1f eps', eps, z, mean) AS description,
+         {_two('eps')} AS rate_eps, {_two('mean')} AS mean_eps, {_two('z')} AS z_score
+  FROM (SELECT *, abs(eps - mean) / std AS z FROM (SELECT *, {EPS} AS eps FROM win WHERE count > 0),
+        (SELECT count(*) AS n, avg({EPS}) AS mean, stddev_pop({EPS}) AS std FROM win WHERE count > 0) WHERE n >= 3 AND std >= 0.001) WHERE z > {{t}}"""
+
+
+@query("rate_descriptions", env_sql(f", {_tumbling_sql(60_000_000)} {_RATE_ROWS.format(t=2.0)}"))
+def _(spark, d):
+    found = anomalies.rate_anomalies(windows.tumbling(env(spark, d), 60), 2.0)
+    details = [F.col("details")[k].cast("double").alias(k) for k in ("rate_eps", "mean_eps", "z_score")]
+    return found.select("kind", "severity", "start_us", "end_us", "description", *details)
+
+
+_GAP_ROWS = f"""
+  SELECT prev_us AS start_us, ts_us AS end_us, printf('Event gap of %.1fs between events', (ts_us - prev_us) / 1e6) AS description,
+         {_two('(ts_us - prev_us) / 1e6')} AS gap_s, prev_event
+  FROM (SELECT ts_us, lag(ts_us) OVER o AS prev_us, lag(event_id) OVER o AS prev_event FROM env WINDOW o AS (ORDER BY ts_us, ordinal))
+  WHERE ts_us - prev_us > {{gap}}"""
+
+
+@query("gap_descriptions", env_sql(_GAP_ROWS.format(gap=300_000_000)))
+def _(spark, d):
+    found = anomalies.time_gaps(env(spark, d), 300)
+    details = [F.col("details")["gap_s"].cast("double").alias("gap_s"), F.col("details")["prev_event"].alias("prev_event")]
+    return found.select("start_us", "end_us", "description", *details)
+
+
+def _report_section(spark, d, section: str, schema: str) -> DataFrame:
+    """A section of the analysis report, read back from its JSON."""
+    report = analysis_report(env(spark, d), window_size_s=HOUR, spike_threshold=2.0, gap_s=1000)
+    return report.where(F.col("section") == section).select(F.from_json("body", schema).alias("r")).select("r.*")
+
+
+@query(
+    "report_summary",
+    env_sql(
+        f"""{_ALL_ANOMALIES}
+        SELECT count(*) AS total_events, {_two('(max(ts_us) - min(ts_us)) / 1e6')} AS duration_s,
+               {_two('count(*) / greatest((max(ts_us) - min(ts_us)) / 1e6, 0.001)')} AS overall_throughput_eps,
+               (SELECT count(*) FROM win) AS num_windows, (SELECT count(*) FROM found) AS num_anomalies,
+               'tumbling' AS window_type, CAST({HOUR} AS DOUBLE) AS window_size_s FROM env"""
+    ),
+)
+def _(spark, d):
+    return _report_section(
+        spark, d, "summary",
+        "total_events bigint, duration_s double, overall_throughput_eps double, num_windows bigint, num_anomalies bigint, "
+        "window_type string, window_size_s double",
+    )
+
+
+@query(
+    "report_throughput",
+    env_sql(f", {_tumbling_sql(H_US)} SELECT {_two('start_us / 1e6')} AS t, {_two(EPS)} AS eps, count FROM win"),
+)
+def _(spark, d):
+    return _report_section(spark, d, "throughput_series", "t double, eps double, count bigint")
+
+
+@query(
+    "report_anomalies",
+    env_sql(
+        f""", {_tumbling_sql(H_US)}, f AS (
+        SELECT kind, severity, description, start_us, end_us FROM ({_RATE_ROWS.format(t=2.0)})
+        UNION ALL SELECT 'rate_gap', CASE WHEN end_us - start_us < 3000000000 THEN 'medium' ELSE 'high' END, description, start_us, end_us
+        FROM ({_GAP_ROWS.format(gap=1_000_000_000)})
+        UNION ALL SELECT 'duplicate', 'high', 'Duplicate event_id detected: ' || event_id, ts_us, ts_us FROM ({_DUPES}) WHERE sighting > 1
+        UNION ALL SELECT 'sequence_gap', 'medium', 'Sequence gap of ' || CAST(sequence_number - from_seq - 1 AS VARCHAR) || ' in producer ' || producer_id, from_us, ts_us
+        FROM ({_STEPS.format(src='env')}) WHERE sequence_number - from_seq > 1)
+        SELECT kind, severity, description, {_two('start_us / 1e6')} AS window_start, {_two('end_us / 1e6')} AS window_end FROM f"""
+    ),
+)
+def _(spark, d):
+    return _report_section(
+        spark, d, "anomalies", "kind string, severity string, description string, window_start double, window_end double"
+    )
