@@ -1663,3 +1663,58 @@ def _(spark, d):
     return _report_section(
         spark, d, "anomalies", "kind string, severity string, description string, window_start double, window_end double"
     )
+
+
+_AMOUNTS = _SUMMARY.replace("(ms", "(value")
+
+
+@query(
+    "load_report_patterns",
+    f"""WITH c AS ({ORACLES["rate_conformance"]}), l AS (SELECT event_type AS pattern, {_AMOUNTS} FROM events GROUP BY 1)
+    SELECT pattern, total_events, round(duration_s, 6) AS duration_s, round(actual_eps, 6) AS actual_eps, target_eps, conformance_pct,
+           samples, mean_ms, p50_ms, p95_ms, p99_ms, p999_ms, min_ms, max_ms
+    FROM c JOIN l USING (pattern)""",
+)
+def _(spark, d):
+    report = load_run_report(tables.load_events(spark, d), _run_profiles(), "amount", HOUR)
+    numbers = ["mean_ms", *load.PERCENTILES, "min_ms", "max_ms"]
+    latency = ", ".join(["samples: bigint", *[f"{c}: double" for c in numbers]])
+    rates = ["duration_s", "actual_eps", "target_eps", "conformance_pct"]
+    schema = "pattern string, total_events bigint, " + ", ".join(f"{c} double" for c in rates) + f", latency struct<{latency}>"
+    rows = report.where("section = 'patterns'").select(F.from_json("body", schema).alias("r")).select("r.*")
+    return rows.select(
+        "pattern", "total_events", *[F.round(c, 6).alias(c) for c in rates], "latency.samples",
+        *[F.round(f"latency.{c}", 6).alias(c) if c[1] != "i" and c != "max_ms" else F.col(f"latency.{c}") for c in numbers],
+    )
+
+
+@query(
+    "load_report_series",
+    f"""WITH f AS (SELECT event_type AS pattern, epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY event_type) AS t FROM events),
+    n AS (SELECT pattern, t // {H_US} AS k, count(*) AS n FROM f GROUP BY 1, 2)
+    SELECT pattern, (k + 1) * {H_US} AS t_us, round(n / {HOUR}, 6) AS eps, CAST(sum(n) OVER (PARTITION BY pattern ORDER BY k) AS BIGINT) AS total FROM n""",
+)
+def _(spark, d):
+    report = load_run_report(tables.load_events(spark, d), _run_profiles(), "amount", HOUR)
+    rows = report.where("section = 'throughput_series'").select(F.from_json("body", "pattern string, t_us bigint, eps double, total bigint").alias("r"))
+    return rows.select("r.pattern", "r.t_us", F.round("r.eps", 6).alias("eps"), "r.total")
+
+
+@query(
+    "stream_gap_alarms_late",
+    env_sql(
+        f""", w AS (SELECT min(ts_us) AS lo, greatest(1, (max(ts_us) - min(ts_us) + 5) // 5) AS width FROM base),
+        b AS (SELECT *, least(4, (ts_us - lo + CASE WHEN sequence_number % 10 = 0 THEN {round(LATE * 1e6)} ELSE 0 END) // width) AS batch FROM base, w),
+        seen AS (SELECT *, max(sequence_number) OVER (PARTITION BY producer_id ORDER BY batch RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS upto FROM b),
+        fresh AS (SELECT * FROM seen WHERE upto IS NULL OR sequence_number > upto),
+        s AS ({_STEPS.format(src='fresh')})
+        SELECT producer_id, 'sequence_gap' AS kind, from_us AS start_us, ts_us AS end_us, sequence_number - from_seq - 1 AS missing
+        FROM s WHERE sequence_number - from_seq > 1
+        UNION ALL SELECT producer_id, 'rate_gap', from_us, ts_us, NULL FROM s WHERE ts_us - from_us > {H_US}"""
+    ),
+)
+def _(spark, d):
+    # events that come a batch late raise no alarm, and those before them report the gap they left
+    alarms = GapAlarms(spark, shared_dir(spark, "alarms"), HOUR)
+    streams.run_batches(tables.event_stream(spark, d, late_s=LATE), alarms, shared_dir(spark, "alarms-checkpoint"))
+    return alarms.alarms.all().drop("batch")
