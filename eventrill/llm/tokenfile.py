@@ -1,7 +1,10 @@
 """Token-id files compressed by a Re-Pair grammar, with random access.
 
 Documents, ordered by id, are encoded and written in blocks. In a block the most frequent
-pairs of neighbouring ids are replaced by new symbols (nonterminals), round after round. A
+pairs of neighbouring ids are replaced by new symbols (nonterminals), round after round,
+``PAIRS_PER_ROUND`` at a time, until no pair is frequent enough to pay for its rule or
+``ROUNDS`` are over (on a million ids of the test documents: 1.21 bytes an id after 4 rounds;
+1.19 at the end, after 8, in 1.8 times the time; ``rounds=None`` goes on to the end). A
 block stores its rules, the number of ids each symbol expands to, the remaining row of
 symbols, and an index of its documents; so one document is decoded by expanding only the
 symbols that overlap it.
@@ -20,6 +23,7 @@ without blocks; other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import zlib
 
 import numpy as np
@@ -28,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventrill.llm.common import in_arrow
+from eventrill.llm.common import in_arrow, is_small, shared_table
 from eventrill.llm.tokens import encoder
 from eventrill.session import shared_dir
 
@@ -36,40 +40,47 @@ END_ID = 2
 BLOCK_IDS = 1_000_000
 ROUNDS = 4
 PAIRS_PER_ROUND = 2_048
-LEAST_COUNT = 4  # a pair seen less often costs as much as it saves
+SMALL_BLOCKS = 100_000  # 16 bytes each
+LEAST_COUNT = 8  # a rule takes 12 bytes and saves 2 at each place: a pair seen less often does not pay
 
 _MAGIC = b"RPG1"
 BLOCKS = "shard int, block int, n_docs bigint, n_ids bigint, data binary"
 
 
-def compress(ids: np.ndarray, rounds: int = ROUNDS, pairs: int = PAIRS_PER_ROUND):
-    """``(first nonterminal, rules, symbols)`` of a row of ids."""
-    row = ids.astype(np.uint64)
-    base = int(row.max()) + 1 if len(row) else 0
+def compress(ids: np.ndarray, rounds: int | None = ROUNDS, pairs: int = PAIRS_PER_ROUND):
+    """``(first nonterminal, rules, symbols)`` of a row of ids; without ``rounds``, until no pair repeats often enough.
+
+    Within, the ids that occur are numbered from 0 in their order, and new symbols follow. While
+    there are few, a pair is one 32-bit number, which is sorted in half the time.
+    """
+    base = int(ids.max()) + 1 if len(ids) else 0
+    known = np.nonzero(np.bincount(ids.astype(np.int64), minlength=base))[0]
+    number = np.zeros(base, np.uint32)
+    number[known] = np.arange(len(known), dtype=np.uint32)
+    row, top = number[ids], len(known)
     rules: list[np.ndarray] = []
-    top = base
-    for _ in range(rounds):
-        if len(row) < 2:
-            break
-        codes = (row[:-1] << np.uint64(32)) | row[1:]
-        ordered = np.sort(codes)
-        starts = np.nonzero(np.r_[True, ordered[1:] != ordered[:-1]])[0]
-        counts = np.diff(np.r_[starts, len(ordered)])
+    done = 0
+    while len(row) > 1 and done != rounds:
+        done += 1
+        shift, kind = (16, np.uint32) if top <= 1 << 16 else (32, np.uint64)
+        codes = (row[:-1].astype(kind) << kind(shift)) | row[1:].astype(kind)
+        codes.sort()
+        starts = np.nonzero(np.r_[True, codes[1:] != codes[:-1]])[0]
+        counts = np.diff(np.r_[starts, len(codes)])
         often = np.nonzero(counts >= LEAST_COUNT)[0]
         if len(often) == 0:
             break
         if len(often) > pairs:
-            often = often[np.lexsort((ordered[starts[often]], -counts[often]))[:pairs]]
-        chosen = np.sort(ordered[starts[often]])
+            often = often[np.lexsort((codes[starts[often]], -counts[often]))[:pairs]]
+        chosen = np.sort(codes[starts[often]]).astype(np.int64)
         # a table of the chosen pairs by the places of their sides: at most ``pairs`` squared small numbers
-        a, b = (chosen >> np.uint64(32)).astype(np.int64), (chosen & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        a, b = chosen >> shift, chosen & ((1 << shift) - 1)
         lefts, rights = np.unique(a), np.unique(b)
         left, right = np.full(top, -1, np.int32), np.full(top, -1, np.int32)
         left[lefts], right[rights] = np.arange(len(lefts)), np.arange(len(rights))
         pair_rule = np.full(len(lefts) * len(rights), -1, np.int32)
         pair_rule[left[a].astype(np.int64) * len(rights) + right[b]] = np.arange(len(chosen))
-        symbols = row.astype(np.int64)
-        first, second = left[symbols[:-1]], right[symbols[1:]]
+        first, second = left[row[:-1]], right[row[1:]]
         at = np.nonzero((first >= 0) & (second >= 0))[0]
         rule = pair_rule[first[at].astype(np.int64) * len(rights) + second[at]]
         at, rule = at[rule >= 0], rule[rule >= 0]
@@ -78,13 +89,15 @@ def compress(ids: np.ndarray, rounds: int = ROUNDS, pairs: int = PAIRS_PER_ROUND
         run = np.maximum.accumulate(np.where(begin, np.arange(len(at)), 0))
         free = (np.arange(len(at)) - run) % 2 == 0
         at, rule = at[free], rule[free]
-        row[at] = np.uint64(top) + rule.astype(np.uint64)
+        row[at] = (top + rule).astype(np.uint32)
         keep = np.ones(len(row), bool)
         keep[at + 1] = False
         row = row[keep]
-        rules.append(np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], axis=1))
+        rules.append(np.stack([a, b], axis=1))
         top += len(chosen)
-    return base, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint64), row
+    pairs_of = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
+    symbol = np.concatenate([known, base + np.arange(len(pairs_of))]).astype(np.uint64)
+    return base, symbol[pairs_of], symbol[row]
 
 
 def _lengths(base: int, rules: np.ndarray) -> np.ndarray:
@@ -128,16 +141,43 @@ class Block:
         self.doc_ids = [None if n else int(d) for d, n in zip(ids, null)]
         self.counts = take("<u8", docs).astype(np.int64)
 
+    @functools.cached_property
+    def _expansions(self) -> tuple[np.ndarray, np.ndarray]:
+        """What each rule expands to, one after the other, and where each begins."""
+        ends = np.cumsum(self.lengths.astype(np.int64))
+        begins = ends - self.lengths
+        flat, base = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32), self.base
+        at = begins.tolist()
+        size = self.lengths.tolist()
+        for k, (a, b) in enumerate(self.rules.tolist()):  # a rule uses earlier rules only
+            start = at[k]
+            for symbol in (a, b):
+                if symbol < base:
+                    flat[start] = symbol
+                    start += 1
+                else:
+                    n, source = size[symbol - base], at[symbol - base]
+                    flat[start : start + n] = flat[source : source + n]
+                    start += n
+        return flat, begins
+
+    def _sizes(self, row: np.ndarray) -> np.ndarray:
+        size = np.ones(len(row), np.int64)
+        big = row >= self.base
+        size[big] = self.lengths[row[big].astype(np.int64) - self.base]
+        return size
+
     def _expanded(self, row: np.ndarray) -> np.ndarray:
-        row = row.astype(np.uint32)
-        while (big := row >= self.base).any():
-            out = np.empty(len(row) + int(big.sum()), np.uint32)
-            at = np.arange(len(row)) + np.cumsum(big) - big
-            out[at[~big]] = row[~big]
-            pair = self.rules[row[big] - self.base]
-            out[at[big]], out[at[big] + 1] = pair[:, 0], pair[:, 1]
-            row = out
-        return row
+        flat, begins = self._expansions
+        size, big = self._sizes(row), row >= self.base
+        ends = np.cumsum(size)
+        out = np.repeat(row.astype(np.uint32), size)
+        # within a rule's place, the numbers of its expansion in turn
+        rule = row[big].astype(np.int64) - self.base
+        shift = begins[rule] - (ends[big] - size[big])
+        inside = np.repeat(big, size)
+        out[inside] = flat[np.nonzero(inside)[0] + np.repeat(shift, size[big])]
+        return out
 
     def ids(self) -> np.ndarray:
         return self._expanded(self.row)
@@ -146,9 +186,7 @@ class Block:
         """Ids of the ``k``-th document, by the symbols that overlap it."""
         start = int(self.counts[:k].sum())
         end = start + int(self.counts[k])
-        size = np.ones(len(self.row), np.int64)
-        big = self.row >= self.base
-        size[big] = self.lengths[self.row[big].astype(np.int64) - self.base]
+        size = self._sizes(self.row)
         upto = np.cumsum(size)
         first, last = np.searchsorted(upto, start, side="right"), np.searchsorted(upto, end, side="left")
         skipped = start - int(upto[first] - size[first])
@@ -192,27 +230,34 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID,
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """Per document, from the files: ``doc_id, start, n_tokens, ids_crc32``."""
     blocks = spark.read.schema(BLOCKS).parquet(path)
+    # where a block starts: a row per block, from the small columns alone
     shards = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))  # a row per shard
     whole = F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     before = shards.select("shard", F.coalesce(whole, F.lit(0)).alias("before"))
     within = F.sum("n_ids").over(Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     starts = blocks.select("shard", "block", F.coalesce(within, F.lit(0)).alias("within")).join(before, "shard")
-    starts = starts.select("shard", "block", (F.col("within") + F.col("before")).alias("start"))
-    placed = blocks.join(starts, ["shard", "block"]).select("start", "data")
+    starts = shared_table(starts.select("shard", "block", (F.col("within") + F.col("before")).alias("start")), "token-ids")
 
     def work(batches):
         for batch in batches:
-            for start, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for shard, number, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 block = Block(data.as_py())
                 raw, at, rows = block.ids().astype("<u4").tobytes(), 0, []
                 for doc_id, n in zip(block.doc_ids, block.counts.tolist()):
-                    rows.append((doc_id, start + at, n, zlib.crc32(raw[4 * at : 4 * (at + n)])))
+                    rows.append((shard, number, doc_id, at, n, zlib.crc32(raw[4 * at : 4 * (at + n)])))
                     at += n
+                kinds = (pa.int32(), pa.int32(), *[pa.int64()] * 4)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "start", "n_tokens", "ids_crc32"]
+                    [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["shard", "block", "doc_id", "at", "n_tokens", "ids_crc32"]
                 )
 
-    return in_arrow(placed, work, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    # the blocks' bytes stay where they are read; what is joined is a few numbers per document
+    found = in_arrow(
+        blocks.select("shard", "block", "data"), work,
+        "shard int, block int, doc_id bigint, at bigint, n_tokens bigint, ids_crc32 bigint",
+    )
+    placed = found.join(F.broadcast(starts) if is_small(starts, SMALL_BLOCKS) else starts, ["shard", "block"])
+    return placed.select("doc_id", (F.col("start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def round_trip(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:

@@ -10,7 +10,9 @@ from __future__ import annotations
 import functools
 import os
 import re
+import sys
 import unicodedata
+from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -31,6 +33,7 @@ _BARE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
 _LATIN = re.compile("[\x01-\xff]*")
 _PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _AS_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(_PLAIN))}
+_SPACE_SIGN = chr(_AS_SIGNS[0x20])
 
 
 def _unsure(text: str) -> bool:
@@ -64,6 +67,7 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # a special token's name in a text is text
+        self._tokenize = self._tokenizer.model.tokenize
         self._spaced = spaced
         self._words: dict[str, bytes] = {}
         # two generations: what was not asked for while one filled up is forgotten
@@ -76,22 +80,34 @@ class Encoder:
 
     def _piece(self, piece: str) -> bytes:
         """Ids of a piece: of each of its words by the tokenizer's model, as the tokenizer itself does it."""
-        if not _LATIN.fullmatch(piece):
+        if piece.isascii():
+            text = piece if self._spaced else piece.lower()
+            if (text[1:] if self._spaced and text[:1] == " " else text).isalpha():
+                return self._word(text)
+        elif not _LATIN.fullmatch(piece):
             return self._whole([piece])[0]
-        if self._spaced:
-            found = _SPACED.findall(piece)
         else:
-            found = _BARE.findall(unicodedata.normalize("NFC", piece).lower())
+            text = piece if self._spaced else unicodedata.normalize("NFC", piece).lower()
         words, ids = self._words, []
-        for word in found:
-            if word not in words:
+        for word in (_SPACED if self._spaced else _BARE).findall(text):
+            found = words.get(word)
+            if found is None:
                 if len(words) > CACHED_PIECES:
                     words.clear()
-                as_bytes = word.encode().decode("latin-1").translate(_AS_SIGNS)
-                words[word] = np.array([t.id for t in self._tokenizer.model.tokenize(as_bytes)], "<u4").tobytes()
-            ids.append(words[word])
+                found = words[word] = self._word(word)
+            ids.append(found)
         return b"".join(ids)
 
+    def _word(self, word: str) -> bytes:
+        if word.isascii() and word.isprintable():
+            signs = word.replace(" ", _SPACE_SIGN)  # the other printable ones stand for themselves
+        else:
+            signs = word.encode().decode("latin-1").translate(_AS_SIGNS)
+        ids = array("I", [t.id for t in self._tokenize(signs)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
     def pieces(self, text: str) -> list[str]:
         """Pieces whose ids, put together, are the text's ids."""
         if _unsure(text):
