@@ -31,6 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +40,8 @@ from eventrill.llm.common import in_arrow, is_small, shared_table
 SMALL_ANCHORS = 8_000_000
 HOT_DOCS = 10_000
 BLOCK_UNITS = 1_500_000
-SEEN_SEGMENTS = 400_000  # that a task remembers; forgetting some only sends more on
+SEEN_SEGMENTS = 200_000  # that a task remembers, by a digest; forgetting some only sends more on
+TEXT_BYTES = 1 << 20  # that are worked on at a time: a dozen numbers are made of each unit
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)  # any odd number does
 _ODD2 = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -130,10 +132,22 @@ def _ids(column: pa.Array) -> np.ndarray:
     return column.fill_null(int(NO_ID)).to_numpy(zero_copy_only=False)
 
 
+def _in_parts(batches):
+    """Batches of at most ``TEXT_BYTES`` of text (column 2), a longer text alone."""
+    for batch in batches:
+        upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            before = upto[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(upto, before + TEXT_BYTES, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def _anchor_counts(docs: DataFrame, codes: Callable[[], Codes], n: int, gram: int) -> DataFrame:
     def work(batches):
         to_codes = codes()
-        for batch in batches:
+        for batch in _in_parts(batches):
             cut, _ = segments(_ids(batch.column(0)), _ids(batch.column(1)), to_codes(batch.column(2).to_pylist()), n, gram)
             if cut is None:
                 continue
@@ -153,7 +167,7 @@ def _anchors_of(docs: DataFrame, codes: Callable[[], Codes], n: int, gram: int)
 
     def work(batches):
         to_codes = codes()
-        for batch in batches:
+        for batch in _in_parts(batches):
             cut, _ = segments(_ids(batch.column(0)), _ids(batch.column(1)), to_codes(batch.column(2).to_pylist()), n, gram)
             if cut is not None:
                 columns = [pa.array(cut.hashes[cut.owner]), pa.array(cut.leads[cut.first])]
@@ -183,8 +197,8 @@ def _candidates(docs: DataFrame, codes, payloads: Payloads, n: int, gram: int, w
     """
 
     def work(batches):
-        to_codes, seen = codes(), {}
-        for batch in batches:
+        to_codes, seen, digest = codes(), {}, xxhash.xxh3_128_digest
+        for batch in _in_parts(batches):
             cut, row = segments(_ids(batch.column(0)), _ids(batch.column(1)), to_codes(batch.column(2).to_pylist()), n, gram)
             if cut is None:
                 continue
@@ -212,8 +226,8 @@ def _candidates(docs: DataFrame, codes, payloads: Payloads, n: int, gram: int, w
             if len(seen) > SEEN_SEGMENTS:
                 seen.clear()
             decided = np.zeros(len(content), bool)
-            for i, key in enumerate(zip(lead.tolist(), content, ids.tolist())):
-                doc_id, key = key[2], key[:2]
+            for i, (piece, doc_id, anchor) in enumerate(zip(content, ids.tolist(), lead.view(np.uint64).tolist())):
+                key = digest(piece, anchor)
                 least = seen.get(key)
                 if least is None or doc_id < least:
                     seen[key] = doc_id
