@@ -1,10 +1,10 @@
-"""Removal of repeated word passages by level-wise doubling.
+"""Removal of repeated word passages by level-wise doubling, in two levels.
 
-Windows of words are looked at at growing lengths: those of the first level that occur in
-one document alone can be in no longer repeat; the others are extended to twice the length
-(at last to the length asked for), until no candidate is left. At the first level only the
-windows that lead a longer one (see ``passages``) are counted, so that the counts are a
-fraction of the words; every window of the last level has such a leader.
+Windows of words are looked at at half the length asked for and then at that length. Those
+of the first level that occur in one document alone can be in no longer repeat; the others
+are extended to twice the length and compared again. At the first level only the windows
+that lead a longer one (see ``passages``) are counted, so that the counts are a fraction of
+the words; every window of the last level has such a leader.
 
 Windows are compared by two independent 64-bit hashes of their words' hashes.
 

@@ -262,7 +262,7 @@ def test_grammar_round_trip_and_random_access():
         ids = np.array([rng.choice([1, 1, 2, 3, 50_000]) for _ in range(rng.randrange(1, 4_000))], np.uint32)
         cuts = sorted(rng.sample(range(len(ids) + 1), min(3, len(ids))))
         counts = np.diff([0, *cuts, len(ids)])
-        data = tokenfile.pack_block([None, *range(len(counts) - 1)], counts, ids, pairs=rng.choice([3, 100]))
+        data = tokenfile.pack_block([None, *range(len(counts) - 1)], counts, ids, pairs=rng.choice([3, 100]), rounds=rng.choice([1, 4, None]))
         block = tokenfile.Block(data)
         assert (block.ids() == ids).all() and block.doc_ids[0] is None
         for k, (a, b) in enumerate(zip(np.cumsum(counts) - counts, np.cumsum(counts))):
