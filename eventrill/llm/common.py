@@ -40,12 +40,18 @@ def shared_table(df: DataFrame, purpose: str) -> DataFrame:
     Shuffle files that nothing refers to any more are let go of, so that the disk holds the
     written rows alone.
     """
-    out = written(df, purpose)
-    gc.collect()
-    df.sparkSession._jvm.System.gc()
+    spark, out = df.sparkSession, written(df, purpose)
+    del df
+    let_go(spark)
     return out
 
 
+def let_go(spark: SparkSession) -> None:
+    """Has Spark remove the shuffle files that nothing refers to any more, before many new ones are written."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def in_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str):
     return df.mapInArrow(function, schema)
 

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventrill.llm.common import in_arrow, is_small, shared_table
+from eventrill.llm.common import in_arrow, is_small, let_go, shared_table
 
 SMALL_ANCHORS = 8_000_000
 HOT_DOCS = 10_000
@@ -336,6 +336,7 @@ def repeated_runs(
         by_text = held.groupBy("text_hash").agg(*(F.collect_set(c).alias(name) for c, name in zip(sides, ("usual", "hot"))))
         joined = rows.join(by_text, "text_hash").select("doc_id", "text_hash", "text", "usual", "hot")
         found = _candidates(joined, codes, payloads, n, gram, None, None)
+    let_go(docs.sparkSession)  # the counts' shuffle, if the last stage still held it
     placed = found.repartition("anchor").sortWithinPartitions("anchor", "doc_id")
     return shared_table(in_arrow(placed, lambda batches: _decide(batches, first_ids, n, block_units), RUNS), purpose)
 

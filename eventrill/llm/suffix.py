@@ -10,7 +10,8 @@ sample tells whether an earlier document has it. So the matching statistic again
 documents is followed as far as asked for, ``n`` bytes.
 
 Repeats, copies above all, make long runs: equal segments are kept once, with the smallest
-document, before the transform is built.
+document, before the transform is built, and an anchor all of whose segments are equal needs
+no index.
 
 Defined results: null is empty; texts shorter than ``n`` stay whole; copies count as
 occurrences, and rows that repeat an id do not count against each other; a null id comes
@@ -30,7 +31,8 @@ from eventrill.llm.common import in_arrow
 from eventrill.llm.passages import merged, mix, repeated_runs, with_spans
 
 LENGTH = 50
-GRAM = 16
+GRAM = 20
+BLOCK_UNITS = 4_000_000  # a quarter of them, or so, comes into the index
 SEPARATOR = 0xFF  # occurs in no UTF-8 text
 
 _CODES = mix(np.random.default_rng(3).integers(1, 2**63, 256, dtype=np.uint64))
@@ -125,13 +127,31 @@ class RunIndex:
 
 
 def _first_ids(anchors, ids, windows, payloads, n=LENGTH) -> np.ndarray:
-    """Smallest document of every window of a block, streamed through the block's index."""
+    """Smallest document of every window of a block, whose rows come ordered by anchor.
+
+    Where all segments of an anchor are the same bytes, as within a passage that was copied, the
+    smallest document is that of all their windows. The others are streamed through an index.
+    """
     number: dict[bytes, int] = {}
     which = np.array([number.setdefault(p, len(number)) for p in payloads], np.int64)
-    least = np.full(len(number), np.iinfo(np.int64).max)
+    begin = np.nonzero(np.r_[True, anchors[1:] != anchors[:-1]])[0]
+    sizes = np.diff(np.r_[begin, len(anchors)])
+    alike = np.repeat(np.maximum.reduceat(which, begin) == np.minimum.reduceat(which, begin), sizes)
+    first = np.repeat(np.repeat(np.minimum.reduceat(ids, begin), sizes), windows)
+    if not alike.all():
+        rest = ~alike
+        used, which = np.unique(which[rest], return_inverse=True)
+        texts = list(number)
+        first[np.repeat(rest, windows)] = _streamed([texts[k] for k in used.tolist()], which, ids[rest], windows[rest], n)
+    return first
+
+
+def _streamed(texts: list[bytes], which: np.ndarray, ids: np.ndarray, windows: np.ndarray, n: int) -> np.ndarray:
+    """The same by the index of the different ``texts``; ``which`` is the text of each row."""
+    least = np.full(len(texts), np.iinfo(np.int64).max)
     np.minimum.at(least, which, ids)
-    sizes = np.array([len(p) for p in number], np.int64)
-    text = np.frombuffer(b"\xff".join(number) + b"\xff", np.uint8)
+    sizes = np.array([len(p) for p in texts], np.int64)
+    text = np.frombuffer(b"\xff".join(texts) + b"\xff", np.uint8)
     begins = np.cumsum(sizes + 1) - (sizes + 1)
     index = RunIndex(text, np.repeat(least, sizes + 1), n)
     # all segments walk left together, each from its last window
@@ -155,6 +175,7 @@ def _first_ids(anchors, ids, windows, payloads, n=LENGTH) -> np.ndarray:
 def repeated_bytes(docs: DataFrame, n: int = LENGTH, gram: int = GRAM, **limits) -> DataFrame:
     """``doc_id, text, spans``: byte runs that an earlier document has, in strings of ``n`` bytes."""
     decide = lambda a, i, w, p: _first_ids(a, i, w, p, n)
+    limits = {"block_units": BLOCK_UNITS, **limits}
     runs = repeated_runs(docs, _byte_codes, _payloads, decide, n, gram, "suffix", **limits)
     return with_spans(docs, runs)
 

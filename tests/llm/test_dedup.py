@@ -203,6 +203,18 @@ def removed_by_hand(rows, units, n):
     return out
 
 
+def test_texts_are_taken_in_parts(monkeypatch):
+    import pyarrow as pa
+
+    from eventrill.llm import passages as module
+
+    monkeypatch.setattr(module, "TEXT_BYTES", 10)
+    texts = ["a" * 4, "b" * 4, "", None, "c" * 50, "d" * 10, "é" * 3, "e"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(range(8)), pa.array(texts)], ["doc_id", "text_hash", "text"])
+    parts = [p.column(2).to_pylist() for p in module._in_parts([batch])]
+    assert parts == [["a" * 4, "b" * 4, "", None], ["c" * 50], ["d" * 10], ["é" * 3, "e"]]
+
+
 CASES = {
     "usual": {}, "hot": {"hot_docs": 3}, "joined": {"small_anchors": 0}, "small blocks": {"block_units": 50},
 }
@@ -260,7 +272,14 @@ def test_run_index_against_every_window():
             for i in range(len(t) - n + 1):
                 first[t[i : i + n]] = min(first.get(t[i : i + n], 99), d)
         want = [first[t[i : i + n]] for t in texts for i in range(len(t) - n + 1)]
-        assert suffix._first_ids(None, np.array(ids), windows, texts, n).tolist() == want
+        one = np.zeros(len(texts), np.int64)  # all of one anchor
+        assert suffix._first_ids(one, np.array(ids), windows, texts, n).tolist() == want
+        # a second anchor's segments are all alike: its smallest document, without an index
+        more, far = [texts[0]] * 3, [7, 5, 9]
+        both = suffix._first_ids(
+            np.r_[one, 1, 1, 1], np.r_[ids, far], np.r_[windows, [windows[0]] * 3], texts + more, n
+        )
+        assert both.tolist() == want + [5] * (3 * int(windows[0]))
 
 
 def test_repetitive_text_has_few_runs():
