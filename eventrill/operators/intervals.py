@@ -6,16 +6,31 @@ incidents, ranges of offsets. Empty ones (``end <= start``) hold nothing.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from eventrill.operators.order import OrderedScan
 from eventrill.session import broadcast_if_small, written
 
 LEVEL_STEP = 2  # bins grow by a factor of 4 from level to level
+_HALF = 32  # bits
+
+
+class Totals(NamedTuple):
+    """What to tell of the points in an interval, by the names that the new columns get.
+
+    ``count``: how many; ``last``: the greatest number at which one lies; ``sums``: the sum of a column
+    of whole numbers, ``{new column: summed column}``, null if all are null.
+    """
+
+    count: str
+    last: str
+    sums: Mapping[str, str] = {}
 
 
 def _bin(value: Column, level: Column) -> Column:
@@ -36,6 +51,8 @@ def in_intervals(
     start: str = "start_us",
     end: str = "end_us",
     by: Sequence[str] = (),
+    totals: Totals | None = None,
+    **scan_args,
 ) -> DataFrame:
     """Every point with every interval that holds it: the columns of both, ``by`` once.
 
@@ -43,7 +60,13 @@ def in_intervals(
     length, one or two; a point is looked up once per length that occurs, at most 32. So the
     join is on equal bins however the lengths differ: there is no nested loop, a long interval is
     not copied along its length, and a crowded bin is split by the adaptive join.
+
+    Where points and intervals both crowd the same time, there are as many rows as one times the
+    other. Who needs no more than ``totals`` of each interval's points gets them instead, in a row
+    per interval that holds any, and no pair is made.
     """
+    if totals is not None:
+        return _totals_in_intervals(points, intervals, at, start, end, list(by), totals, scan_args)
     others = [c for c in intervals.columns if c not in by]
     spans = intervals.where(F.col(end) > F.col(start)).withColumn("_level", _level(F.col(end) - F.col(start)))
     bins = F.sequence(_bin(F.col(start), F.col("_level")), _bin(F.col(end) - 1, F.col("_level")))
@@ -58,6 +81,59 @@ def in_intervals(
     return found.select(*[f"p.{c}" for c in points.columns], *[f"i.{c}" for c in others])
 
 
+def _totals_in_intervals(
+    points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, by: list[str], totals: Totals, scan_args: dict
+) -> DataFrame:
+    """The pairs of ``in_intervals`` grouped by interval, without the pairs.
+
+    Sums and counts of all points before a number are read off at each start and end; an interval's
+    are the difference. Its last point is the last before its end, as long as it holds any. A sum
+    goes as two halves of its numbers, so that one over all points does not overflow where an
+    interval's does not.
+    """
+    if others := [c for c in totals.sums.values() if not isinstance(points.schema[c].dataType, IntegralType)]:
+        raise TypeError(f"only whole numbers are summed up without an error, not {others}")
+    one, low = F.lit(1).cast("bigint"), (1 << _HALF) - 1
+    measures = {"_points": F.count(one)}
+    for i, value in enumerate(totals.sums.values()):
+        number = F.col(value).cast("bigint")
+        measures[f"_known{i}"] = F.count(number)
+        measures[f"_high{i}"] = F.coalesce(F.sum(F.shiftright(number, _HALF)), F.lit(0).cast("bigint"))
+        measures[f"_low{i}"] = F.coalesce(F.sum(number.bitwiseAND(F.lit(low))), F.lit(0).cast("bigint"))
+    present = reduce(Column.__and__, [F.col(c).isNotNull() for c in [*by, at]])
+    per_point = points.where(present).groupBy(*by, F.col(at).alias("_at")).agg(*[m.alias(n) for n, m in measures.items()])
+    held = reduce(Column.__and__, [F.col(c).isNotNull() for c in by], F.col(end) > F.col(start))
+    spans = written(intervals.where(held), "intervals")
+    edges = spans.select(*by, F.explode(F.array(start, end)).alias("_at")).distinct()
+    # at equal numbers the edge comes first: it tells of what lies before it
+    rows = per_point.select(*by, "_at", F.lit(1).alias("_side"), F.col("_at").alias("_last"), *measures).unionByName(
+        edges.select(
+            *by, "_at", F.lit(0).alias("_side"), F.lit(None).cast("bigint").alias("_last"),
+            *[F.lit(0).cast("bigint").alias(n) for n in measures],
+        )
+    )
+    scan = OrderedScan(written(rows, "edges"), by, ["_at", "_side"], **scan_args)
+    swept = scan.running_sums({f"_upto{n}": n for n in measures}).running_max("_reach", "_last").result()
+    upto = F.struct("_reach", *[F.col(f"_upto{n}").alias(n) for n in measures])
+    before = written(swept.where(F.col("_side") == 0).select(*by, "_at", upto.alias("_upto")), "edges")
+    out = spans
+    for i, edge in enumerate((start, end)):
+        side = before.select(*[F.col(c).alias(f"_{i}_{c}") for c in by], F.col("_at").alias(f"_{i}_at"), F.col("_upto").alias(f"_upto{i}"))
+        match = [F.col(c) == F.col(f"_{i}_{c}") for c in by] + [F.col(edge) == F.col(f"_{i}_at")]
+        out = out.join(broadcast_if_small(side), match)
+    of = {n: F.col(f"_upto1.{n}") - F.col(f"_upto0.{n}") for n in measures}
+    sums = [
+        F.when(
+            of[f"_known{i}"] > 0,
+            (of[f"_high{i}"] + F.shiftright(of[f"_low{i}"], _HALF)) * (1 << _HALF) + of[f"_low{i}"].bitwiseAND(F.lit(low)),
+        ).alias(name)
+        for i, name in enumerate(totals.sums)
+    ]
+    return out.where(of["_points"] > 0).select(
+        *intervals.columns, of["_points"].alias(totals.count), *sums, F.col("_upto1._reach").alias(totals.last)
+    )
+
+
 def counts_in_intervals(
     points: DataFrame,
     intervals: DataFrame,

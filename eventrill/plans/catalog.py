@@ -1364,9 +1364,11 @@ def _incidents(spark, d):
 )
 def _(spark, d):
     events = tables.enveloped(spark, d).select("partition", "ts_us", "sequence_number")
-    found = intervals.in_intervals(events, _incidents(spark, d), by=["partition"])
+    wanted = intervals.Totals("events", "last_us", {"numbers": "sequence_number"})
+    found = intervals.in_intervals(events, _incidents(spark, d), by=["partition"], totals=wanted)
+    # an incident that was recorded twice has an interval each time
     return found.groupBy("incident_id", "partition").agg(
-        F.count(F.lit(1)).alias("events"), F.sum("sequence_number").alias("numbers"), F.max("ts_us").alias("last_us")
+        F.sum("events").alias("events"), F.sum("numbers").alias("numbers"), F.max("last_us").alias("last_us")
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from eventrill.operators import consumer, idindex, intervals, sketches
 from eventrill.operators.topiclog import content_checksum
+from eventrill.plans import catalog
 from eventrill.session import shared_dir
 from eventrill.sources import eventlog
 from eventrill.streaming import progress
@@ -57,6 +58,63 @@ def test_counts_in_intervals(spark, points_and_spans, by, rows_per_piece):
     assert {r["id"]: r["count"] for r in found.collect()} == expected and found.count() == len(spans)
 
 
+@pytest.mark.parametrize("by", [[], ["k"]])
+@pytest.mark.parametrize("rows_per_piece", [10, 10**6])
+def test_totals_of_the_points_in_intervals(spark, points_and_spans, by, rows_per_piece):
+    points, spans, left, right = points_and_spans
+    value = {x: None if x % 3 == 0 else (2**58 + x) * (-1 if x % 5 == 0 else 1) for _, _, x in points}  # overflow if added up
+    values = spark.createDataFrame(list(value.items()), "x int, v bigint")
+    right = right.unionByName(right.where("id < 5")) if by else right.drop("k").unionByName(right.drop("k").where("id < 5"))
+    wanted = intervals.Totals("n", "top", {"sum": "v", "places": "x"})
+    few = right.where("z - a <= 100")  # in the longest ones, the sum itself does not fit
+    found = intervals.in_intervals(left.join(values, "x"), few, "at", "a", "z", by, wanted, rows_per_piece=rows_per_piece)
+    assert found.columns == [*right.columns, "n", "sum", "places", "top"]
+    expected = []
+    for i, other, a, z in spans:
+        held = [(at, x) for at, k, x in points if at is not None and a <= at < z and (not by or (k is not None and k == other))]
+        known = [value[x] for _, x in held if value[x] is not None]
+        if held and z - a <= 100:
+            row = (i, len(held), sum(known) if known else None, sum(x for _, x in held), max(at for at, _ in held))
+            expected += [row] * (2 if i < 5 else 1)
+    got = [(r["id"], r["n"], r["sum"], r["places"], r["top"]) for r in found.collect()]
+    assert sorted(got, key=str) == sorted(expected, key=str) and len(expected) > 10
+    assert intervals.in_intervals(left, right.limit(0), "at", "a", "z", by, intervals.Totals("n", "top")).count() == 0
+    with pytest.raises(TypeError):
+        intervals.in_intervals(left, right, "at", "a", "z", by, intervals.Totals("n", "top", {"sum": "k"}))
+
+
+def test_incidents_in_a_crowd_make_no_pairs(spark, tmp_path):
+    """A thousand events in each of a thousand incidents: the pairs would be a million rows."""
+    n = 1_000
+    at = F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("id"))
+    rows = spark.range(2 * n).select(
+        F.col("id").alias("event_id"), at.alias("ts"), F.lit(4).cast("bigint").alias("user_id"),
+        F.when(F.col("id") < n, "error").otherwise("view").alias("event_type"), F.lit(50.0).alias("value"), F.lit("{}").alias("props"),
+    )
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    found = catalog.QUERIES["events_in_incidents"](spark, str(tmp_path))
+    got = {int(r["incident_id"]): (r["events"], r["numbers"]) for r in found.collect()}
+    assert got == {i: (2 * n - i, sum(range(i + 1, 2 * n + 1))) for i in range(n)}
+    assert _most_rows(found) <= 10 * n
+
+
+def _most_rows(df):
+    """The most rows that a step of a plan that has run gave out."""
+    plans, most = [df._jdf.queryExecution().executedPlan()], 0
+    while plans:
+        plan = plans.pop()
+        metric = plan.metrics().get("numOutputRows")
+        most = max(most, metric.get().value() if metric.isDefined() else 0)
+        name = plan.nodeName()
+        if name == "AdaptiveSparkPlan":
+            plans.append(plan.executedPlan())
+        elif name.endswith("QueryStage"):
+            plans.append(plan.plan())
+        else:
+            plans += [plan.children().apply(i) for i in range(plan.children().size())]
+    return most
+
+
 def test_no_bin_holds_many_copies_of_a_long_interval(spark):
     spans = spark.createDataFrame([(0, 10**12), (5, 6)], "start_us bigint, end_us bigint")
     points = spark.createDataFrame([(5,), (10**12 - 1,), (10**12,)], "ts_us bigint")
