@@ -16,7 +16,8 @@ from eventrill.session import shared_dir
 
 NUM_PARTITIONS = 4
 STREAM_BATCHES = 5
-FILES_PER_BATCH = 2
+FILES_PER_BATCH = 2  # of a small table
+ROWS_PER_FILE = 1_000_000
 GROUP = "analytics"
 
 
@@ -155,21 +156,33 @@ def _as_stream(rows: DataFrame, late: Column, late_s: float, closing_s: float |
     """``rows`` in parts, by ``ts_us``; those that are ``late`` count as later; ``closing`` are columns of the last event."""
     spark = rows.sparkSession
     lo, hi = rows.agg(F.min("ts_us"), F.max("ts_us")).first()
-    path = shared_dir(spark, "event-stream")
+    path, files = shared_dir(spark, "event-stream"), FILES_PER_BATCH
     if hi is None:
         rows.write.parquet(path)
     else:
         tardy = F.when(late, round(late_s * 1_000_000)).otherwise(0)
         width = max(1, -(-(hi - lo + 1) // STREAM_BATCHES))
         part = F.least(F.floor((F.col("ts_us") - lo + tardy) / width), F.lit(STREAM_BATCHES - 1))
+        sizes = {r["part"]: r["count"] for r in rows.where(part.isNotNull()).groupBy(part.alias("part")).count().collect()}
+        files = _files_per_batch([sizes.get(k, 0) for k in range(STREAM_BATCHES)])
         for k in range(STREAM_BATCHES):  # one after another: the files' times give their order
-            rows.where(part == k).repartition(FILES_PER_BATCH).write.mode("append").parquet(path)
+            rows.where(part == k).repartition(files).write.mode("append").parquet(path)
         if closing_s is not None:
             last = F.lit(hi + round(closing_s * 1_000_000)).cast("bigint")
             known = {"ts_us": last, "ts": F.timestamp_micros(last), **closing}
             end = spark.range(1).select(*[known.get(c, F.lit(None)).cast(rows.schema[c].dataType).alias(c) for c in rows.columns])
             end.write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def _files_per_batch(sizes: list[int]) -> int:
+    """How many files each part is written to, which a batch then reads, so that no task writes more than a bounded part.
+
+    A batch is as many files as this, so every part must fill all of its files: where one is too
+    small for that, all have as few as a small table.
+    """
+    files = -(-max(sizes) // ROWS_PER_FILE)
+    return max(files, FILES_PER_BATCH) if min(sizes) >= 1_000 * files else FILES_PER_BATCH
 
 
 def redelivered_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

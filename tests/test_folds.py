@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from eventrill.operators import lifecycle as lc
 from eventrill.session import shared_dir
+from eventrill.sources import tables
 from eventrill.streaming import folds
 from eventrill.streaming import queries as streams
 
@@ -137,3 +138,40 @@ def test_attempts_of_a_message_in_different_batches(spark, feed):
     f.add(row(100, "z", 1, True))
     got = sorted_rows(streams.run_to_table(folds.stream_retries(f.stream(10), 9), "r"))
     assert got == [("a", "dlq", 3), ("b", "consumed", 0), ("c", "consumed", 1), ("d", "pending", 2)]
+
+
+def test_retries_of_ids_that_go_up_with_time_are_spread(spark, feed):
+    """Removed ids lie side by side in the state store if they are its first key; a look-up steps over all of them."""
+    f = feed("message_id string, attempt int, ok boolean")
+    f.add({"at": 1, "message_id": "1", "attempt": 1, "ok": False}, {"at": 2, "message_id": None, "attempt": 1, "ok": True})
+    f.add({"at": 5, "message_id": "1", "attempt": 2, "ok": True}, {"at": 5, "message_id": "2", "attempt": 1, "ok": False})
+    f.add({"at": 100, "message_id": "3", "attempt": 1, "ok": True})
+    retries = folds.stream_retries(f.stream(10), 9)
+    assert retries.columns == ["message_id", "status", "failures"]
+    plan = retries._jdf.queryExecution().analyzed().toString()
+    group = next(line for line in plan.splitlines() if "Aggregate [" in line)
+    assert "xxhash64(message_id" in group.split("Aggregate [")[1].split(",")[0]
+    assert sorted_rows(streams.run_to_table(retries, "r")) == sorted([("1", "consumed", 1), ("2", "pending", 1), (None, "consumed", 0)], key=str)
+
+
+def test_a_part_of_a_stream_is_written_to_more_files_as_it_grows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "ROWS_PER_FILE", 2_000)
+    at = F.timestamp_micros(F.lit(1_700_000_000 * S) + F.col("id") * S)
+    rows = spark.range(30_000).select(
+        F.col("id").alias("event_id"), at.alias("ts"), F.col("id").alias("user_id"), F.lit("view").alias("event_type"),
+        F.lit(50.0).alias("value"), F.lit("{}").alias("props"),
+    )
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    stream = tables.event_stream(spark, str(tmp_path))
+    out, seen = shared_dir(spark, "cp"), []
+    streams.run_batches(stream, lambda batch, _: seen.append((batch.count(), batch.rdd.getNumPartitions())), out)
+    assert [n for n, _ in seen] == [6_000] * 5  # a batch is still a part
+    files = stream_files(stream)
+    assert len(files) == 15  # three each, of 2,000 rows; two each before
+    assert tables._files_per_batch([27_000_000] * 5) > 2 and tables._files_per_batch([27_000_000, 0]) == 2
+
+
+def stream_files(stream):
+    path = stream._jdf.queryExecution().analyzed().toString().split("FileSource[")[1].split("]")[0]
+    folder = path.removeprefix("file:")
+    return [x for x in os.listdir(folder) if x.endswith(".parquet")]
