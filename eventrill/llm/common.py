@@ -56,6 +56,20 @@ def in_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Itera
     return df.mapInArrow(function, schema)
 
 
+def grouped(batches: Iterator[pa.RecordBatch], most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in fewer batches: neighbours are put together up to ``most`` bytes."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if held and size + batch.nbytes > most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def is_small(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has at most ``rows`` rows; a scan that stops as soon as it has more."""
     return df.limit(rows + 1).count() <= rows

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventrill.llm.common import in_arrow, is_small, shared_table
+from eventrill.llm.common import grouped, in_arrow, is_small, shared_table
 from eventrill.llm.tokens import encoder
 from eventrill.session import shared_dir
 
@@ -197,7 +197,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID,
     """Encodes ``docs`` and writes their ids to ``path``, ordered by ``doc_id``."""
 
     def work(batches):
-        encode, end = encoder(tokenizer, spaced=True).encode, np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(tokenizer, spaced=True).encode_column, np.array([end_id], "<u4").tobytes()
         context = TaskContext.get()
         shard, block = context.partitionId() if context else 0, 0
         doc_ids, held, n = [], [], 0
@@ -211,8 +211,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID,
                 [pa.array(c, k) for c, k in zip(columns, kinds)], ["shard", "block", "n_docs", "n_ids", "data"]
             )
 
-        for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
+        for batch in grouped(batches):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1))):
                 doc_ids.append(doc_id)
                 held.append(ids + end)
                 n += len(held[-1]) // 4

@@ -7,9 +7,11 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from eventrill.llm import catalog, chat, decontam, packing, tokenfile, tokens
+from eventrill.llm.common import grouped
 from tests.llm.conftest import DOCS, ODD
 
 try:
@@ -241,6 +243,43 @@ def test_pieces_give_the_ids_of_whole_texts(name, spaced):
     assert tokens.Encoder(path, spaced).encode(texts) == want
 
 
+@with_tokenizers
+@pytest.mark.parametrize("name,spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_columns_give_the_ids_of_whole_texts(name, spaced, monkeypatch):
+    path = public_tokenizers.path(name)
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    rng = random.Random(11)
+    signs = [" ", " ", " ", "\n", "ab", "C", "é", ".", "'s", "7", "\t", "日", "’", "\u3000", "\u2009", "\xa0", "\0", "\x85", "ß"]
+    made = ["".join(rng.choice(signs[: rng.choice([9, 11, 13, 19])]) for _ in range(rng.randrange(40))) for _ in range(1_000)]
+    texts = ["", None, *ODD_TEXTS, *made, "", "a b  c", "a ", " b", "x" * 300, None]
+    want = [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
+    monkeypatch.setattr(tokens, "CACHED_PIECES", 50)
+    encode = tokens.Encoder(path, spaced).encode_column
+    assert encode(pa.array(texts)) == want
+    assert [x for at in range(0, len(texts), 9) for x in encode(pa.array(texts).slice(at, 9))] == want
+    assert encode(pa.array([], pa.string())) == [] and encode(pa.array([None, ""], pa.string())) == [b"", b""]
+    assert encode(pa.array(["only"])) == encode(pa.array(["only"], pa.large_string()))
+
+
+@with_tokenizers
+def test_a_column_is_encoded_by_its_different_pieces(monkeypatch):
+    encode, asked = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"), True), []
+    monkeypatch.setattr(encode, "_ids_of", lambda pieces, alone, f=encode._ids_of: asked.append(pieces) or f(pieces, alone))
+    texts = [" ".join(["first", *["same"] * 100, f"own{i}"]) for i in range(20)]
+    assert encode.encode_column(pa.array(texts)) == encode.encode(texts)
+    assert [sorted(p) for p in asked] == [sorted([b"first", b" same", *(b" own%d" % i for i in range(20))])]
+
+
+def test_batches_are_put_together():
+    sizes, rows = [3, 1, 0, 40, 2, 2, 9, 1], []
+    batches = [pa.record_batch({"n": pa.array([k] * n, pa.int64())}) for k, n in enumerate(sizes)]
+    for batch in grouped(iter(batches), most=8 * 6):
+        assert batch.num_rows <= 6 or batch.num_rows in (40, 9)
+        rows += batch.column(0).to_pylist()
+    assert rows == [k for k, n in enumerate(sizes) for _ in range(n)] and list(grouped(iter([]))) == []
+
+
 @with_tokenizers
 def test_token_files(odd_docs, spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
