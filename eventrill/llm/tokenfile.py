@@ -73,23 +73,25 @@ def compress(ids: np.ndarray, rounds: int | None = ROUNDS, pairs: int = PAIRS_PE
         if len(often) > pairs:
             often = often[np.lexsort((codes[starts[often]], -counts[often]))[:pairs]]
         chosen = np.sort(codes[starts[often]]).astype(np.int64)
-        # a table of the chosen pairs by the places of their sides: at most ``pairs`` squared small numbers
+        # a table of the chosen pairs by the places of their sides: at most ``pairs`` squared small numbers,
+        # and a row and a column for symbols that are no side of any
         a, b = chosen >> shift, chosen & ((1 << shift) - 1)
         lefts, rights = np.unique(a), np.unique(b)
-        left, right = np.full(top, -1, np.int32), np.full(top, -1, np.int32)
-        left[lefts], right[rights] = np.arange(len(lefts)), np.arange(len(rights))
-        pair_rule = np.full(len(lefts) * len(rights), -1, np.int32)
-        pair_rule[left[a].astype(np.int64) * len(rights) + right[b]] = np.arange(len(chosen))
-        first, second = left[row[:-1]], right[row[1:]]
-        at = np.nonzero((first >= 0) & (second >= 0))[0]
-        rule = pair_rule[first[at].astype(np.int64) * len(rights) + second[at]]
-        at, rule = at[rule >= 0], rule[rule >= 0]
+        wide = len(rights) + 1
+        left, right = np.full(top, len(lefts) * wide, np.intp), np.full(top, len(rights), np.intp)
+        left[lefts], right[rights] = np.arange(len(lefts)) * wide, np.arange(len(rights))
+        pair_rule = np.full((len(lefts) + 1) * wide, -1, np.int16 if len(chosen) < 1 << 15 else np.int32)
+        pair_rule[left[a] + right[b]] = np.arange(len(chosen))
+        places = row.astype(np.intp)
+        rule = pair_rule[left[places[:-1]] + right[places[1:]]]
+        at = np.flatnonzero(rule >= 0)
+        rule = rule[at]
         # of pairs that overlap, every second one, from the left
-        begin = np.r_[True, np.diff(at) != 1]
-        run = np.maximum.accumulate(np.where(begin, np.arange(len(at)), 0))
-        free = (np.arange(len(at)) - run) % 2 == 0
+        begin, turn = np.r_[True, np.diff(at) != 1], np.arange(len(at), dtype=np.int32)
+        run = np.maximum.accumulate(np.where(begin, turn, np.int32(0)))
+        free = np.flatnonzero(((turn - run) & 1) == 0)
         at, rule = at[free], rule[free]
-        row[at] = (top + rule).astype(np.uint32)
+        row[at] = rule.astype(np.uint32) + np.uint32(top)
         keep = np.ones(len(row), bool)
         keep[at + 1] = False
         row = row[keep]
@@ -142,42 +144,36 @@ class Block:
         self.counts = take("<u8", docs).astype(np.int64)
 
     @functools.cached_property
-    def _expansions(self) -> tuple[np.ndarray, np.ndarray]:
-        """What each rule expands to, one after the other, and where each begins."""
-        ends = np.cumsum(self.lengths.astype(np.int64))
-        begins = ends - self.lengths
-        flat, base = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32), self.base
+    def _expansions(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What each symbol expands to, one after the other (an id to itself), where each begins, and how long it is."""
+        base = self.base
+        sizes = np.concatenate([np.ones(base, np.int64), self.lengths.astype(np.int64)])
+        begins = np.cumsum(sizes) - sizes
+        flat = np.empty(int(sizes.sum()), np.uint32)
+        flat[:base] = np.arange(base, dtype=np.uint32)
         at = begins.tolist()
-        size = self.lengths.tolist()
+        size = sizes.tolist()
         for k, (a, b) in enumerate(self.rules.tolist()):  # a rule uses earlier rules only
-            start = at[k]
+            start = at[base + k]
             for symbol in (a, b):
                 if symbol < base:
                     flat[start] = symbol
                     start += 1
                 else:
-                    n, source = size[symbol - base], at[symbol - base]
+                    n, source = size[symbol], at[symbol]
                     flat[start : start + n] = flat[source : source + n]
                     start += n
-        return flat, begins
-
-    def _sizes(self, row: np.ndarray) -> np.ndarray:
-        size = np.ones(len(row), np.int64)
-        big = row >= self.base
-        size[big] = self.lengths[row[big].astype(np.int64) - self.base]
-        return size
+        return flat, begins, sizes
 
     def _expanded(self, row: np.ndarray) -> np.ndarray:
-        flat, begins = self._expansions
-        size, big = self._sizes(row), row >= self.base
+        flat, begins, sizes = self._expansions
+        row = row.astype(np.intp)
+        size = sizes[row]
         ends = np.cumsum(size)
-        out = np.repeat(row.astype(np.uint32), size)
-        # within a rule's place, the numbers of its expansion in turn
-        rule = row[big].astype(np.int64) - self.base
-        shift = begins[rule] - (ends[big] - size[big])
-        inside = np.repeat(big, size)
-        out[inside] = flat[np.nonzero(inside)[0] + np.repeat(shift, size[big])]
-        return out
+        # within a symbol's place, the numbers of its expansion in turn
+        source = np.repeat(begins[row] - (ends - size), size)
+        source += np.arange(len(source))
+        return flat[source]
 
     def ids(self) -> np.ndarray:
         return self._expanded(self.row)
@@ -186,7 +182,7 @@ class Block:
         """Ids of the ``k``-th document, by the symbols that overlap it."""
         start = int(self.counts[:k].sum())
         end = start + int(self.counts[k])
-        size = self._sizes(self.row)
+        size = self._expansions[2][self.row]
         upto = np.cumsum(size)
         first, last = np.searchsorted(upto, start, side="right"), np.searchsorted(upto, end, side="left")
         skipped = start - int(upto[first] - size[first])
